@@ -64,4 +64,4 @@ def coverage(expected: DataFrame, landed: DataFrame, keys: Sequence[str] = ("run
     fully = totals.where("success_count = total_cities").withColumn(
         "failed_city", F.lit(None).cast("string")
     )
-    return partly.unionByName(fully)
+    return fully.unionByName(partly)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from stormgrid.schemas import nan_to_null
 
@@ -28,14 +28,16 @@ def write_layer(df: DataFrame, path: str, partition: str, order: Sequence[str])
 def read_layer(
     spark: SparkSession, path: str, schema: T.StructType, run_date: str | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """One layer, pruned to one run when given. CSV is an explicit choice, never a fallback."""
+    """One layer, of one run when a date is given; a missing run is an error.
+
+    A run is read from its own directory, so listing does not grow with the runs kept. CSV is
+    an explicit choice, never a fallback.
+    """
     full = T.StructType([*schema.fields, T.StructField("run_date", T.DateType())])
-    reader = spark.read.schema(full)
+    reader = spark.read.schema(full).option("basePath", path)
     if fmt == "csv":
         reader = reader.option("header", True).option("timestampNTZFormat", CSV_STAMP)
-    df = reader.format(fmt).load(path)
-    if run_date is not None:
-        df = df.where(F.col("run_date") == F.lit(run_date).cast("date"))
+    df = reader.format(fmt).load(path if run_date is None else f"{path}/run_date={run_date}")
     return nan_to_null(df) if fmt == "csv" else df
 
 
