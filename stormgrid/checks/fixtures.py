@@ -35,7 +35,7 @@ def events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("id"),
         "ts",
         (F.col("user_id") % 25).cast("int").alias("city_key"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.regexp_extract("props", '"k": *([0-9]+)', 1).cast("int").alias("k"),
         F.col("event_type").alias("kind"),
     )
 

@@ -52,8 +52,11 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
 
 
 def _first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    numbered = df.withColumn("_position", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return numbered.where(F.col("_position") == 1).drop("_position")
+    # The sort compares its first eight bytes in place and follows a pointer to the row only
+    # when they are equal. Names that begin alike make that the rule; a hash of the key,
+    # ahead of the key itself, makes it the exception and nearly halves the sort.
+    window = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order)
+    return df.withColumn("_position", F.row_number().over(window)).where("_position = 1").drop("_position")
 
 
 def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:

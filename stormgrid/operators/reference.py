@@ -13,17 +13,18 @@ from stormgrid.operators.clean import first_per_key
 def reference_list(cities: DataFrame, position: str | None = None) -> DataFrame:
     """City list keyed by stripped name, first row per name in list order.
 
-    ``position`` names the column that holds the list order. A file scan has none that
-    survives parallel reading, so without it coordinates decide, which is at least stable.
+    ``position`` names a column that numbers the list: unique and fixed-width, so the first
+    row is a plain hash aggregate. A file scan has no order that survives parallel reading;
+    without a position the coordinates decide, which is at least stable.
     """
-    named = cities.select(
-        strip(F.col("city")).alias("city"),
-        F.col("lat").alias("city_lat"),
-        F.col("lng").alias("city_lng"),
-        *([F.col(position).alias("_order")] if position else []),
+    named = cities.withColumnsRenamed({"lat": "city_lat", "lng": "city_lng"}).withColumn(
+        "city", strip(F.col("city"))
+    )
+    if position is None:
+        return first_per_key(named.select("city", "city_lat", "city_lng"), ["city"], ["city_lat", "city_lng"])
+    return named.groupBy("city").agg(
+        *[F.min_by(c, position).alias(c) for c in ("city_lat", "city_lng")]
     )
-    order = ["_order"] if position else ["city_lat", "city_lng"]
-    return first_per_key(named, ["city"], order).select("city", "city_lat", "city_lng")
 
 
 def join_cities(df: DataFrame, reference: DataFrame | None) -> DataFrame:

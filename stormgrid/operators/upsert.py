@@ -29,10 +29,15 @@ class NullCoordinates(ValueError):
 
 
 def incoming_cities(gold: DataFrame) -> DataFrame:
-    """One row per named city: its first by date, as the sorted layer lists them."""
-    named = gold.where(F.col("city").isNotNull())
-    first = first_per_key(named, ["city"], ["forecast_date"])
-    return first.select(F.col("city").alias("city_name"), "latitude", "longitude")
+    """One row per named city: its first by date, as the sorted layer lists them, with rows
+    without a date at the end. City and date are unique in a run, so both coordinates come
+    from one row; the buffers are fixed-width, so no sort is needed."""
+    day = F.coalesce(F.col("forecast_date"), F.lit("9999-12-31").cast("date"))
+    return (
+        gold.where(F.col("city").isNotNull())
+        .groupBy(F.col("city").alias("city_name"))
+        .agg(*[F.min_by(c, day).alias(c) for c in ("latitude", "longitude")])
+    )
 
 
 def with_coordinates(cities: DataFrame) -> DataFrame:
