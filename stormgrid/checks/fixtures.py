@@ -234,6 +234,7 @@ def bronze_folder(spark: SparkSession, sf_dir: str) -> str:
     if key not in _LANDED:
         path = scratch(spark, "bronze")
         bronze.land_payloads(payloads(spark, sf_dir), path)
-        defective_lines(spark, sf_dir).write.mode("append").partitionBy("run_date").text(path)
+        lines = defective_lines(spark, sf_dir).hint("rebalance", "run_date")
+        lines.write.mode("append").partitionBy("run_date").text(path)
         _LANDED[key] = path
     return _LANDED[key]

@@ -12,6 +12,7 @@ WHITESPACE = (
 )
 
 # Spark's text-to-double cast also takes Java literals ("1d", "2.5f", "0x1p3").
+JAVA_LETTER = r"[dDfFxX]"
 JAVA_LITERAL = r"[0-9.][dDfF]\s*$|[xX]"
 DATE_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 STAMP_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
@@ -21,9 +22,15 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def to_number(text: Column) -> Column:
-    number = text.try_cast("double")
-    return F.when(~F.isnan(number) & ~text.rlike(JAVA_LITERAL), number)
+def may_be_java_literal(*texts: Column) -> Column:
+    """Whether any of a row's texts holds a letter such a literal needs. One look at the row
+    spares its numbers the pattern."""
+    return F.concat_ws(" ", *texts).rlike(JAVA_LETTER)
+
+
+def to_number(text: Column, suspect: Column) -> Column:
+    """A double, possibly NaN (see ``schemas.nan_to_null``)."""
+    return F.when(~(suspect & text.rlike(JAVA_LITERAL)), text.try_cast("double"))
 
 
 def to_day(text: Column) -> Column:

@@ -8,27 +8,38 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stormgrid.functions import coerce
 from stormgrid.policy import PLAUSIBLE
-from stormgrid.schemas import DAILY_COLUMNS, MEASURES
+from stormgrid.schemas import DAILY_COLUMNS, MEASURES, nan_to_null
+
+
+def parse_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Text columns to doubles, unreadable and NaN values null.
+
+    Three small steps, each reading the one before by name: written as one expression per
+    column, every text would be parsed twice and the generated code outgrow the JIT.
+    """
+    flagged = df.withColumn("_suspect", coerce.may_be_java_literal(*[F.col(c) for c in columns]))
+    parsed = flagged.withColumns({c: coerce.to_number(F.col(c), F.col("_suspect")) for c in columns})
+    return nan_to_null(parsed.drop("_suspect"), columns)
 
 
 def standardize(raw: DataFrame) -> DataFrame:
     """Raw text rows to silver names and types; unreadable values become null."""
     renamed = raw.withColumnsRenamed(DAILY_COLUMNS)
-    typed = {
-        "city": coerce.strip(F.col("city")),
-        "forecast_date": coerce.to_day(F.col("forecast_date")),
-        "extracted_at": coerce.to_stamp(F.col("extracted_at")),
-        "weather_code": coerce.to_whole(coerce.to_number(F.col("weather_code"))),
-    }
-    for c in ["latitude", "longitude", *MEASURES]:
-        typed[c] = coerce.to_number(F.col(c))
-    return renamed.withColumns(typed)
+    numbers = parse_numbers(renamed, ["latitude", "longitude", *MEASURES, "weather_code"])
+    return numbers.withColumns(
+        {
+            "city": coerce.strip(F.col("city")),
+            "forecast_date": coerce.to_day(F.col("forecast_date")),
+            "extracted_at": coerce.to_stamp(F.col("extracted_at")),
+            "weather_code": coerce.to_whole(F.col("weather_code")),
+        }
+    )
 
 
 def unreadable_codes(raw: DataFrame) -> DataFrame:
     """How many weather codes held a number that is not a whole one."""
-    number = coerce.to_number(F.col("weather_code"))
-    return raw.agg(
+    number = F.col("weather_code")
+    return parse_numbers(raw.select("weather_code"), ["weather_code"]).agg(
         F.count_if(number.isNotNull() & coerce.to_whole(number).isNull()).alias("fractional_codes")
     )
 

@@ -151,13 +151,8 @@ def load_fact(spark: SparkSession, path: str, incoming: DataFrame) -> None:
     staged = scratch(spark, "fact")
     merged = upsert.upsert_fact(touched, incoming)
     merged.write.parquet(staged)
-    layers.write_layer(
-        # as few files per day as their size allows, a long day in several
-        spark.read.schema(schemas.FACT).parquet(staged).hint("rebalance", "forecast_date"),
-        path,
-        "forecast_date",
-        ["city_id"],
-    )
+    merged_days = spark.read.schema(schemas.FACT).parquet(staged)
+    layers.write_spread(merged_days, path, "forecast_date", ["city_id"])
 
 
 def run_load(spark: SparkSession, root: str, run_date: str, loaded_at: str) -> Outcome:

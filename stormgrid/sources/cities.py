@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from stormgrid import schemas
-from stormgrid.functions.coerce import to_number
+from stormgrid.operators.clean import parse_numbers
 
 
 def scan_cities(spark: SparkSession, path: str) -> DataFrame:
     """City, lat, lng by header name; a declared schema would bind by position instead."""
     raw = spark.read.option("header", True).csv(path)
     schemas.require(raw, schemas.CITY_COLUMNS, f"city list {path}")
-    return raw.select("city", to_number(F.col("lat")).alias("lat"), to_number(F.col("lng")).alias("lng"))
+    return parse_numbers(raw.select(*schemas.CITY_COLUMNS), ["lat", "lng"])
 
 
 def drop_null_coords(cities: DataFrame) -> DataFrame:

@@ -25,6 +25,12 @@ def write_layer(df: DataFrame, path: str, partition: str, order: Sequence[str])
     )
 
 
+def write_spread(df: DataFrame, path: str, partition: str, order: Sequence[str]) -> None:
+    """``write_layer`` for rows whose partitions are scattered over all tasks: brought together
+    first, so that a partition gets as few files as its size allows and a large one several."""
+    write_layer(df.hint("rebalance", partition), path, partition, order)
+
+
 def read_layer(
     spark: SparkSession, path: str, schema: T.StructType, run_date: str | None = None, fmt: str = "parquet"
 ) -> DataFrame:

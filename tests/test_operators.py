@@ -48,7 +48,7 @@ def column(spark, values, kind, expression):
     ],
 )
 def test_numbers(spark, text, number):
-    assert column(spark, [text], "string", coerce.to_number) == [number]
+    assert clean.parse_numbers(spark.createDataFrame([(text,)], "v string"), ["v"]).first()["v"] == number
 
 
 def test_days_stamps_and_codes(spark):
