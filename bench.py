@@ -51,6 +51,7 @@ def session() -> SparkSession:
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("bench")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")

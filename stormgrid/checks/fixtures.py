@@ -6,7 +6,7 @@ Formulas use integer arithmetic and double literals, in the same order in both d
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stormgrid.schemas import DAILY_COLUMNS
 from stormgrid.session import scratch
@@ -31,78 +31,68 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("id"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS id",
         "ts",
-        (F.col("user_id") % 25).cast("int").alias("city_key"),
-        F.regexp_extract("props", '"k": *([0-9]+)', 1).cast("int").alias("k"),
-        F.col("event_type").alias("kind"),
+        "CAST(user_id % 25 AS INT) AS city_key",
+        """CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INT) AS k""",
+        "event_type AS kind",
     )
 
 
 def orders_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("ts"),
-        (F.col("o_custkey") % 25).cast("int").alias("city_key"),
-        (F.col("o_orderkey") % 100).cast("int").alias("k"),
-        F.when(F.col("o_orderstatus") == "P", "error").otherwise("ok").alias("kind"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id",
+        "CAST(o_orderdate AS TIMESTAMP_NTZ) AS ts",
+        "CAST(o_custkey % 25 AS INT) AS city_key",
+        "CAST(o_orderkey % 100 AS INT) AS k",
+        "IF(o_orderstatus = 'P', 'error', 'ok') AS kind",
     )
 
 
 # --- measures of a row number ------------------------------------------------------------
 
 
-def _measures(id_: Column, k: Column, kind: Column) -> dict[str, Column]:
-    temp = F.when(id_ % 97 != 0, (id_ * 37 % 900 - 250) / F.lit(10.0))
-    rain = (id_ * 53 % 5300 - 200) / F.lit(10.0)
-    gust = (id_ * 7 % 1000) / F.lit(10.0)
-    code = F.element_at(F.array(*[F.lit(c) for c in CODES]), (id_ * 7 % 30 + 1).cast("int"))
+def _measures(n: str) -> dict[str, str]:
+    """SQL of each measure of row number ``n``, given columns k and kind."""
+    temp = f"IF({n} % 97 <> 0, ({n} * 37 % 900 - 250) / 1e1, NULL)"
+    rain = f"({n} * 53 % 5300 - 200) / 1e1"
+    gust = f"({n} * 7 % 1000) / 1e1"
+    codes = ", ".join(map(str, CODES))
     return {
         "temp_max": temp,
-        "temp_min": temp + 2.0 - (id_ * 13 % 200) / F.lit(10.0),
-        "precipitation_mm": F.when((kind == "error") & (id_ % 3 == 0), None)
-        .when(id_ % 5 < 2, 0.0)
-        .when(id_ % 10 == 9, rain)
-        .otherwise(rain * 0.1),
-        "precipitation_prob": F.when(id_ % 41 != 0, ((k * 13 + id_) % 116 - 8).cast("double")),
-        "wind_speed_max": (id_ * 11 % 3300 - 100) / F.lit(10.0),
-        "wind_gust_max": F.when(id_ % 43 != 0, F.when(id_ % 50 == 7, gust * 4.0).otherwise(gust)),
-        "weather_code": F.when(id_ % 59 != 0, code),
+        "temp_min": f"{temp} + 2e0 - ({n} * 13 % 200) / 1e1",
+        "precipitation_mm": f"""CASE WHEN kind = 'error' AND {n} % 3 = 0 THEN NULL
+            WHEN {n} % 5 < 2 THEN 0e0 WHEN {n} % 10 = 9 THEN {rain} ELSE {rain} * 1e-1 END""",
+        "precipitation_prob": f"IF({n} % 41 <> 0, CAST((k * 13 + {n}) % 116 - 8 AS DOUBLE), NULL)",
+        "wind_speed_max": f"({n} * 11 % 3300 - 100) / 1e1",
+        "wind_gust_max": f"IF({n} % 43 <> 0, IF({n} % 50 = 7, {gust} * 4e0, {gust}), NULL)",
+        "weather_code": f"IF({n} % 59 <> 0, array({codes})[CAST({n} * 7 % 30 AS INT)], NULL)",
     }
 
 
-def _latitude(key: Column) -> Column:
-    return F.when(key % 11 != 10, (key * 17 % 140 - 70).cast("double"))
-
-
-def _longitude(key: Column) -> Column:
-    return (key * 29 % 340 - 170).cast("double")
-
-
 def dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("n_nationkey")
-    return table(spark, sf_dir, "nation").select(
-        key.alias("city_id"),
-        F.col("n_name").alias("city_name"),
-        _latitude(key).alias("latitude"),
-        _longitude(key).alias("longitude"),
+    return table(spark, sf_dir, "nation").selectExpr(
+        "n_nationkey AS city_id",
+        "n_name AS city_name",
+        "IF(n_nationkey % 11 <> 10, CAST(n_nationkey * 17 % 140 - 70 AS DOUBLE), NULL) AS latitude",
+        "CAST(n_nationkey * 29 % 340 - 170 AS DOUBLE) AS longitude",
     )
 
 
 def forecasts(spark: SparkSession, sf_dir: str, base=events_base) -> DataFrame:
     """Typed, uncleaned forecast rows, one per base row."""
-    cities = dim(spark, sf_dir).withColumnRenamed("city_name", "city")
-    rows = base(spark, sf_dir).join(cities, F.col("city_key") == F.col("city_id"))
-    return rows.select(
+    cities = dim(spark, sf_dir)
+    rows = base(spark, sf_dir).join(cities, F.expr("city_key = city_id"))
+    return rows.selectExpr(
         "id",
         "city_id",
-        "city",
+        "city_name AS city",
         "latitude",
         "longitude",
-        F.col("ts").cast("date").alias("forecast_date"),
-        *[c.alias(n) for n, c in _measures(F.col("id"), F.col("k"), F.col("kind")).items()],
-        F.col("ts").alias("extracted_at"),
+        "CAST(ts AS DATE) AS forecast_date",
+        *[f"{sql} AS {name}" for name, sql in _measures("id").items()],
+        "ts AS extracted_at",
     )
 
 
@@ -158,32 +148,21 @@ def city_file(spark: SparkSession, sf_dir: str) -> str:
 def _payload_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payload per base row: a fetch at ``ts`` with seven days of forecasts. Day ``i`` of
     row ``id`` takes the measures of row number ``id * 7 + i``."""
-    cities = dim(spark, sf_dir)
-    rows = events_base(spark, sf_dir).join(cities, F.col("city_key") == F.col("city_id"))
-    day = F.sequence(F.lit(0), F.lit(DAYS - 1))
-    start = F.col("ts").cast("date")
-
-    def series(name: str) -> Column:
-        return F.transform(
-            day, lambda i: _measures(F.col("id") * DAYS + i, F.col("k"), F.col("kind"))[name]
-        )
-
+    rows = events_base(spark, sf_dir).join(dim(spark, sf_dir), F.expr("city_key = city_id"))
+    series = {"forecast_date": "CAST(date_add(CAST(ts AS DATE), i) AS STRING)"}
+    series.update(_measures(f"(id * {DAYS} + i)"))
     arrays = [
-        (
-            F.transform(day, lambda i: F.date_add(start, i).cast("string"))
-            if silver == "forecast_date"
-            else series(silver)
-        ).alias(raw)
+        f"'{raw}', transform(sequence(0, {DAYS - 1}), i -> {series[silver]})"
         for raw, silver in DAILY_COLUMNS.items()
     ]
-    return rows.select(
+    return rows.selectExpr(
         "id",
-        start.alias("run_date"),
+        "CAST(ts AS DATE) AS run_date",
         "city_name",
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("fetched_at"),
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") AS fetched_at",
         "latitude",
         "longitude",
-        F.struct(*arrays).alias("daily"),
+        f"named_struct({', '.join(arrays)}) AS daily",
     )
 
 

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # call-site capture doubles the driver's round trips while a plan is put together
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
