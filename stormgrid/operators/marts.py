@@ -72,8 +72,9 @@ def worst_days(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Every day on which a city reaches its highest score, ties included.
 
     Equal to rank() = 1 by city, but as a maximum joined back: all tied days of a hot city
-    would have to pass through one window task, while the join broadcasts the maxima (at most
-    one row per city of the dimension) or leaves the hot city to AQE's skew splitting.
+    would have to pass through one window task. The join broadcasts the maxima, at most one
+    row per city of the dimension; with more cities than that, its key of city and score
+    spreads the days of a city over many tasks.
     """
     peaks = fact.groupBy("city_id").agg(F.max("risk_score").alias("risk_score"))
     named = peaks.join(dim.select("city_id", "city_name"), "city_id")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stormgrid.functions.coerce import strip
 from stormgrid.operators.clean import first_per_key
+from stormgrid.operators.sizing import join_dimension
 
 
 def reference_list(cities: DataFrame, position: str | None = None) -> DataFrame:
@@ -28,14 +29,10 @@ def reference_list(cities: DataFrame, position: str | None = None) -> DataFrame:
 
 
 def join_cities(df: DataFrame, reference: DataFrame | None) -> DataFrame:
-    """Add reference coordinates by name; rows without a match, or without a list, stay.
-
-    No broadcast hint: the planner broadcasts a list under its size threshold, and beyond it
-    the sort-merge join leaves a hot city to AQE's skew splitting.
-    """
+    """Add reference coordinates by name; rows without a match, or without a list, stay."""
     if reference is None:
         return df
-    return df.join(reference, "city", "left")
+    return join_dimension(df, reference, "city", "left")
 
 
 def unmatched(df: DataFrame, reference: DataFrame) -> DataFrame:

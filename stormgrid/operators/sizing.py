@@ -1,13 +1,18 @@
-"""Broadcast only what has been measured."""
+"""Broadcast only what has been measured, and another way beyond that."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# With the few fixed-width columns these sides have, under 10 MB.
+# Dimension rows are a few numbers and a name of at most 100 characters: under 20 MB.
 BROADCAST_ROWS = 100_000
 
 
+def is_small(df: DataFrame) -> bool:
+    """Counted, but no further than the limit."""
+    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
 def broadcast_if_bounded(df: DataFrame, bound: DataFrame) -> DataFrame:
     """Broadcast ``df`` when ``bound``, a small table with at least as many rows, is measured
     to be small enough; leave the join to the planner otherwise.
@@ -15,6 +20,29 @@ def broadcast_if_bounded(df: DataFrame, bound: DataFrame) -> DataFrame:
     The planner cannot see that an aggregate shrinks a huge input, and AQE finds out only
     after the other side has been shuffled.
     """
-    if bound.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if is_small(bound) else df
+
+
+def join_dimension(df: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join rows, however unevenly spread over the key, with a table unique on it.
+
+    A small dimension is broadcast. A larger one is joined by shuffle, but for the keys that
+    hold more than one shuffle partition's share of the rows: fewer such keys can exist than
+    partitions, so their dimension rows are always few enough to broadcast, and their rows
+    stay where they are. Rows without a key match nothing and skip the shuffle too.
+    """
+    if is_small(dim):
+        return df.join(F.broadcast(dim), key, how)
+    share = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    hot = F.broadcast(counts.where(F.col("_n") * share > total).select(key))
+    hot_dim = F.broadcast(dim.join(hot, key, "left_semi"))
+    joined = (
+        df.join(hot, key, "left_semi")
+        .join(hot_dim, key, how)
+        .unionByName(df.where(F.col(key).isNotNull()).join(hot, key, "left_anti").join(dim, key, how))
+    )
+    if how == "left":
+        joined = joined.unionByName(df.where(F.col(key).isNull()), allowMissingColumns=True)
+    return joined

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stormgrid.operators.clean import first_per_key
 from stormgrid.operators.numbering import number_in_order
+from stormgrid.operators.sizing import join_dimension
 from stormgrid.schemas import (
     DIM,
     FACT,
@@ -67,7 +68,7 @@ def upsert_dim(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def with_city_id(gold: DataFrame, dim: DataFrame) -> DataFrame:
     """Rows whose city the dimension knows."""
-    return gold.join(dim.select("city_id", F.col("city_name").alias("city")), "city")
+    return join_dimension(gold, dim.select("city_id", F.col("city_name").alias("city")), "city")
 
 
 def unmapped_cities(gold: DataFrame, dim: DataFrame) -> DataFrame:
@@ -130,8 +131,4 @@ def history_latest(history: DataFrame, as_of: Column | None = None) -> DataFrame
 
 def serving_view(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Fact rows with their city; unordered, so that filters reach the scan."""
-    return fact.join(dim, "city_id").select(*VIEW_COLUMNS)
-
-
-def empty_fact(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame([], FACT)
+    return join_dimension(fact, dim, "city_id").select(*VIEW_COLUMNS)

@@ -11,7 +11,7 @@ from pyspark.sql import Row, Window, functions as F
 from stormgrid import policy, schemas
 from stormgrid.functions import coerce, scoring
 from stormgrid.functions.numbers import decimal_mean, exact_mean, round_tenth_even, round_tenth_exact
-from stormgrid.operators import clean, constraints, marts, numbering, quality, reference, upsert
+from stormgrid.operators import clean, constraints, marts, numbering, quality, reference, sizing, upsert
 from stormgrid.plans import gold as gold_plan
 from stormgrid.sources import bronze, cities
 
@@ -280,6 +280,20 @@ def test_join_without_list(spark):
     assert reference.join_cities(df, None) is df
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_with_a_dimension_too_large_to_broadcast(spark, monkeypatch, how):
+    """One key holds a third of the rows, a fifth have none, and some match nothing."""
+    rows = spark.range(3000).select(
+        "id",
+        F.expr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 5 = 1 THEN NULL ELSE concat('c', id % 200) END").alias("city"),
+    )
+    dim = spark.range(190).select(F.expr("IF(id = 7, 'hot', concat('c', id))").alias("city"), F.col("id").alias("city_id"))
+    want = sorted(map(str, rows.join(dim, "city", how).select("id", "city", "city_id").collect()))
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 10)
+    split = sizing.join_dimension(rows, dim, "city", how).select("id", "city", "city_id")
+    assert sorted(map(str, split.collect())) == want
+
+
 def test_reference_list(spark):
     rows = [(" a", 1.0, 2.0, 2), ("a ", 3.0, 4.0, 1), ("b", 5.0, 6.0, 3)]
     listed = spark.createDataFrame(rows, "city string, lat double, lng double, n int")
