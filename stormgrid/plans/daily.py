@@ -171,6 +171,13 @@ def run_load(spark: SparkSession, root: str, run_date: str, loaded_at: str) -> O
     return Outcome(counts)
 
 
+def export_day(spark: SparkSession, root: str, run_date: str) -> None:
+    """CSV copies of a run's silver and gold, ordered as the tables are."""
+    for layer, schema in [("silver", schemas.SILVER), ("gold", schemas.GOLD)]:
+        stored = layers.read_layer(spark, f"{root}/{layer}", schema, run_date)
+        layers.export_csv(stored.orderBy("city", "forecast_date"), f"{root}/{layer}_csv")
+
+
 def run_day(
     spark: SparkSession,
     root: str,
@@ -178,12 +185,16 @@ def run_day(
     loaded_at: str,
     city_file: str | None = None,
     multiline: bool = False,
+    csv: bool = False,
 ) -> dict[str, Outcome]:
-    return {
+    outcomes = {
         "silver": run_silver(spark, root, run_date, city_file, multiline),
         "gold": run_gold(spark, root, run_date),
         "load": run_load(spark, root, run_date, loaded_at),
     }
+    if csv:
+        export_day(spark, root, run_date)
+    return outcomes
 
 
 def open_view(spark: SparkSession, root: str) -> DataFrame:

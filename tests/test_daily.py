@@ -151,6 +151,16 @@ def test_three_days_loaded_and_replayed(spark, folder, sf_dir):
     assert marts.kpis(daily.open_view(spark, folder)).first()["n_cities"] == len(dim_before)
 
 
+def test_csv_copies(spark, folder):
+    land(spark, folder, [payload(" Fès ", ["2024-03-02", "2024-03-01"]), payload("Safi", ["2024-03-01"])])
+    daily.run_day(spark, folder, "2024-03-01", LOADED, csv=True)
+    for layer, schema in [("silver", schemas.SILVER), ("gold", schemas.GOLD)]:
+        stored = layers.read_layer(spark, f"{folder}/{layer}", schema, "2024-03-01")
+        copied = layers.read_layer(spark, f"{folder}/{layer}_csv", schema, "2024-03-01", fmt="csv")
+        assert stored.count() == 3
+        assert stored.exceptAll(copied).isEmpty() and copied.exceptAll(stored).isEmpty()
+
+
 def test_manifest(spark, folder):
     land(spark, folder, [payload("Safi", ["2024-03-01"])])
     path = os.path.join(folder, "cities.csv")
