@@ -162,7 +162,7 @@ WITH listed AS (
            CASE WHEN c_custkey % 11 <> 10 THEN CAST(c_custkey * 17 % 140 - 70 AS DOUBLE) END AS lat,
            CASE WHEN c_custkey % 13 <> 5 THEN CAST(c_custkey * 29 % 340 - 170 AS DOUBLE) END AS lng,
            c_custkey AS position, n_name
-    FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey % 7 <> 6),
+    FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey <> 4),
 reference AS (
     SELECT n_name AS city, lat AS city_lat, lng AS city_lng FROM (
         SELECT *, row_number() OVER (PARTITION BY n_name ORDER BY position) AS rn
@@ -339,7 +339,7 @@ ORACLE: dict[str, str] = {
     "quality_flag_counts": WX
     + 'SELECT data_quality_flag, count(*) AS "rows" FROM gold GROUP BY data_quality_flag',
     "constraint_violations": RUNS
-    + ", few AS (SELECT * FROM dim WHERE city_id % 5 <> 4) "
+    + ", few AS (SELECT * FROM dim WHERE longitude < 100) "
     + " UNION ALL ".join(
         [
             f"SELECT '{t}' AS table_name, '{c} not null' AS rule, count(*) FILTER (WHERE {c} IS NULL) AS violations FROM {v}"
@@ -374,7 +374,7 @@ ORACLE: dict[str, str] = {
     "serving_cast": WX + f"SELECT * REPLACE ({DOUBLES}) FROM fact",
     "unmapped_cities": WX
     + """SELECT city, count(*) AS "rows" FROM gold
-         WHERE city NOT IN (SELECT city_name FROM dim WHERE city_id % 7 <> 6) GROUP BY city""",
+         WHERE city NOT IN (SELECT city_name FROM dim WHERE longitude < 100) GROUP BY city""",
     "incoming_cities": WX
     + """SELECT city AS city_name, latitude, longitude FROM (
             SELECT *, row_number() OVER (PARTITION BY city ORDER BY forecast_date) AS rn FROM silver) WHERE rn = 1""",
@@ -382,11 +382,11 @@ ORACLE: dict[str, str] = {
         WITH existing AS (
             SELECT CAST(c_custkey + 1 AS INTEGER) AS city_id, c_name AS city_name,
                    CAST(c_custkey % 90 AS DOUBLE) AS latitude, CAST(c_custkey % 180 AS DOUBLE) AS longitude
-            FROM customer WHERE c_custkey % 3 <> 0),
+            FROM customer WHERE c_mktsegment <> 'MACHINERY'),
         offered AS (
             SELECT c_name AS city_name, CAST(c_custkey % 70 AS DOUBLE) AS latitude,
                    CAST(c_custkey % 140 AS DOUBLE) AS longitude
-            FROM customer WHERE c_custkey % 4 <> 1 AND c_custkey % 11 <> 10)
+            FROM customer WHERE c_mktsegment <> 'HOUSEHOLD' AND c_custkey % 11 <> 10)
         SELECT city_id, city_name, coalesce(o.latitude, e.latitude) AS latitude,
                coalesce(o.longitude, e.longitude) AS longitude
         FROM existing e LEFT JOIN offered o USING (city_name)
@@ -395,7 +395,7 @@ ORACLE: dict[str, str] = {
                city_name, latitude, longitude
         FROM offered WHERE city_name NOT IN (SELECT city_name FROM existing)""",
     "upsert_fact": _LOADED + f"SELECT * EXCLUDE (run_date) REPLACE ({DOUBLES}) FROM replayed",
-    "cascade_delete": WX + "SELECT city_id, forecast_date, risk_level FROM fact WHERE city_id % 4 <> 1",
+    "cascade_delete": WX + "SELECT city_id, forecast_date, risk_level FROM fact JOIN dim USING (city_id) WHERE latitude <= 20 OR latitude IS NULL",
     "history_append": RUNS
     + f"""SELECT * EXCLUDE (temp_category, precipitation_category, wind_category, loaded_at)
           REPLACE ({DOUBLES}), loaded_at AS recorded_at FROM fact""",

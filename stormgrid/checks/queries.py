@@ -20,6 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
+RUN_DAYS = ["2024-01-01", "2024-01-02", "2024-01-03"]
 TODAY = datetime.date(2024, 1, 10)
 PICKED = ["NATION_1", "NATION_3", "NATION_10", "NATION_24"]
 RUN_DATE, LOADED_AT = fx.RUN_DATE, fx.LOADED_AT
@@ -144,9 +145,8 @@ def silver_from_bronze(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def union_runs(spark: SparkSession, sf: str) -> DataFrame:
     runs = fx.run_forecasts(spark, sf)
-    first = runs.where(F.col("id") % 3 == 0).drop("wind_speed_max")
-    others = [runs.where(F.col("id") % 3 == n) for n in (1, 2)]
-    return bronze.union_runs(first, *others).select("id", "run_date", "city", "wind_speed_max", "temp_max")
+    first, *others = [runs.where(F.col("run_date") == F.lit(day).cast("date")) for day in RUN_DAYS]
+    return bronze.union_runs(first.drop("wind_speed_max"), *others).select("id", "run_date", "city", "wind_speed_max", "temp_max")
 
 
 @query
@@ -371,7 +371,7 @@ def constraint_violations(spark: SparkSession, sf: str) -> DataFrame:
     runs = silver_plan.from_typed(fx.run_forecasts(spark, sf), tiebreak=["id"], run=["run_date"])
     rows = gold_plan.gold(runs, F.col("run_date"))
     fact = _stored(spark, upsert.serving_rows(rows, dim, _stamp()))
-    return constraints.constraint_violations(dim.where("city_id % 5 <> 4"), fact)
+    return constraints.constraint_violations(dim.where("longitude < 100"), fact)
 
 
 # --- serving ------------------------------------------------------------------------------
@@ -384,7 +384,7 @@ def serving_cast(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def unmapped_cities(spark: SparkSession, sf: str) -> DataFrame:
-    return upsert.unmapped_cities(_gold(spark, sf), fx.dim(spark, sf).where("city_id % 7 <> 6"))
+    return upsert.unmapped_cities(_gold(spark, sf), fx.dim(spark, sf).where("longitude < 100"))
 
 
 @query
@@ -394,16 +394,17 @@ def incoming_cities(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def upsert_dim(spark: SparkSession, sf: str) -> DataFrame:
-    """A dimension that grows with the data: two thirds known, three quarters offered."""
+    """A dimension that grows with the data: all but one segment of the customers known, all
+    but another offered."""
     key = F.col("c_custkey")
     customers = fx.table(spark, sf, "customer")
-    existing = customers.where(key % 3 != 0).select(
+    existing = customers.where("c_mktsegment <> 'MACHINERY'").select(
         (key + 1).cast("int").alias("city_id"),
         F.col("c_name").alias("city_name"),
         (key % 90).cast("double").alias("latitude"),
         (key % 180).cast("double").alias("longitude"),
     )
-    offered = customers.where(key % 4 != 1).select(
+    offered = customers.where("c_mktsegment <> 'HOUSEHOLD'").select(
         F.col("c_name").alias("city_name"),
         F.when(key % 11 != 10, (key % 70).cast("double")).alias("latitude"),
         (key % 140).cast("double").alias("longitude"),
@@ -426,19 +427,17 @@ def _run_facts(spark: SparkSession, sf: str) -> DataFrame:
 def upsert_fact(spark: SparkSession, sf: str) -> DataFrame:
     """The three runs loaded one after the other."""
     facts = _stored(spark, _run_facts(spark, sf))
-    runs = [
-        facts.where(F.col("run_date") == F.lit(day).cast("date")).drop("run_date")
-        for day in ("2024-01-01", "2024-01-02", "2024-01-03")
+    table, *later = [
+        facts.where(F.col("run_date") == F.lit(day).cast("date")).drop("run_date") for day in RUN_DAYS
     ]
-    table = runs[0]
-    for run in runs[1:]:
+    for run in later:
         table = upsert.upsert_fact(table, run)
     return _plain(table)
 
 
 @query
 def cascade_delete(spark: SparkSession, sf: str) -> DataFrame:
-    gone = fx.dim(spark, sf).where("city_id % 4 = 1")
+    gone = fx.dim(spark, sf).where("latitude > 20")
     return upsert.cascade_delete(_fact(spark, sf), gone).select("city_id", "forecast_date", "risk_level")
 
 

@@ -61,14 +61,8 @@ def run_silver(
         F.count_if(reason.isNull()).alias("usable"),
         F.count_if(reason.isNotNull()).alias("rejected"),
     )
-    typed = clean.standardize(bronze.explode_daily(bronze.usable(watched)))
-    ties = [c for c in schemas.SILVER_COLUMNS if c not in ("city", "forecast_date", "extracted_at")]
-    latest = clean.latest_per_key(
-        typed.select("run_date", *schemas.SILVER_COLUMNS),
-        ["run_date", "city", "forecast_date"],
-        "extracted_at",
-        ties,
-    )
+    typed = silver_plan.typed_rows(watched)
+    latest = silver_plan.latest_rows(typed, silver_plan.PAYLOAD_TIES, ["run_date"])
     inputs = clean.with_rule_inputs(latest)
     counted = inputs.observe(ruled, *clean.rule_counts(inputs))
     silver = clean.null_out_of_range(counted).select("run_date", *schemas.SILVER_COLUMNS)

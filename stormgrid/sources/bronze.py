@@ -18,15 +18,17 @@ def stamp_payloads(payloads: DataFrame, city: Column, extracted_at: Column) -> D
     return payloads.withColumns({"_city_name": city, "_extracted_at": extracted_at})
 
 
-def land_payloads(payloads: DataFrame, path: str) -> None:
+def land_payloads(payloads: DataFrame, path: str, several_runs: bool = False) -> None:
     """Write stamped payloads as JSON lines under one directory per run date.
 
-    Re-landing a run replaces exactly that run. The rebalance hint lets AQE merge small
-    outputs and split a large run date over several tasks and files.
+    Re-landing a run replaces exactly that run. One run is written as it comes, without a
+    shuffle; several at once are first brought together by run date, which AQE splits again
+    where a run is large.
     """
+    if several_runs:
+        payloads = payloads.hint("rebalance", "run_date")
     (
-        payloads.hint("rebalance", "run_date")
-        .write.mode("overwrite")
+        payloads.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_date")
         .json(path)
