@@ -39,21 +39,35 @@ def _run_day(run_date: str):
     return F.lit(run_date).cast("date")
 
 
-def run_manifest(spark: SparkSession, root: str, run_date: str, city_file: str) -> DataFrame:
+def _payloads(spark: SparkSession, root: str, run_date: str, documents: bool) -> DataFrame:
+    scan = bronze.scan_documents if documents else bronze.scan_bronze
+    return scan(spark, f"{root}/bronze", run_date)
+
+
+def run_manifest(
+    spark: SparkSession, root: str, run_date: str, city_file: str, documents: bool = False
+) -> Outcome:
     """Expected against landed cities of a run, stored beside the layers."""
     day = _run_day(run_date).alias("run_date")
     expected = cities.load_cities(spark, city_file).select(day, "city")
-    payloads = bronze.scan_bronze(spark, f"{root}/bronze", run_date)
-    landed = payloads.select("run_date", F.col("_city_name").alias("city"))
-    manifest = reference.coverage(expected, landed)
-    layers.write_layer(manifest, f"{root}/manifest", "run_date", ["failed_city"])
-    return spark.read.parquet(f"{root}/manifest").where(F.col("run_date") == _run_day(run_date))
+    landed = _payloads(spark, root, run_date, documents).select("run_date", F.col("_city_name").alias("city"))
+    layers.write_layer(reference.coverage(expected, landed), f"{root}/manifest", "run_date", ["failed_city"])
+    stored = spark.read.option("basePath", f"{root}/manifest").parquet(f"{root}/manifest/run_date={run_date}")
+    counts = _row(
+        stored.agg(
+            F.max("total_cities").alias("total_cities"),
+            F.max("success_count").alias("success_count"),
+            F.count("failed_city").alias("failed_cities"),
+        )
+    )
+    log.info("manifest %s: %s", run_date, counts)
+    return Outcome(counts)
 
 
 def run_silver(
-    spark: SparkSession, root: str, run_date: str, city_file: str | None = None, multiline: bool = False
+    spark: SparkSession, root: str, run_date: str, city_file: str | None = None, documents: bool = False
 ) -> Outcome:
-    payloads = bronze.scan_bronze(spark, f"{root}/bronze", run_date, multiline)
+    payloads = _payloads(spark, root, run_date, documents)
     read, ruled = Observation("read"), Observation("ruled")
     reason = bronze.reject_reason()
     watched = payloads.observe(
@@ -178,14 +192,15 @@ def run_day(
     run_date: str,
     loaded_at: str,
     city_file: str | None = None,
-    multiline: bool = False,
+    documents: bool = False,
     csv: bool = False,
 ) -> dict[str, Outcome]:
-    outcomes = {
-        "silver": run_silver(spark, root, run_date, city_file, multiline),
-        "gold": run_gold(spark, root, run_date),
-        "load": run_load(spark, root, run_date, loaded_at),
-    }
+    outcomes = {}
+    if city_file is not None:
+        outcomes["manifest"] = run_manifest(spark, root, run_date, city_file, documents)
+    outcomes["silver"] = run_silver(spark, root, run_date, city_file, documents)
+    outcomes["gold"] = run_gold(spark, root, run_date)
+    outcomes["load"] = run_load(spark, root, run_date, loaded_at)
     if csv:
         export_day(spark, root, run_date)
     return outcomes

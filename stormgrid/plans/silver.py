@@ -37,5 +37,4 @@ def from_typed(typed: DataFrame, tiebreak: Sequence[str] = (), run: Sequence[str
 
 def from_payloads(payloads: DataFrame) -> DataFrame:
     """Scanned payloads to silver, one result per run date."""
-    run = ["run_date"] if "run_date" in payloads.columns else []
-    return from_typed(typed_rows(payloads), PAYLOAD_TIES, run)
+    return from_typed(typed_rows(payloads), PAYLOAD_TIES, ["run_date"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F
 
 from stormgrid.schemas import CORRUPT, DAILY_COLUMNS, PAYLOAD
 
@@ -35,28 +35,31 @@ def land_payloads(payloads: DataFrame, path: str, several_runs: bool = False) ->
     )
 
 
-def scan_bronze(
-    spark: SparkSession, path: str, run_date: str | None = None, multiline: bool = False
-) -> DataFrame:
-    """Payloads under ``path``, of one run when a date is given.
+def _reader(spark: SparkSession) -> DataFrameReader:
+    return (
+        spark.read.schema(PAYLOAD).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    )
+
+
+def scan_bronze(spark: SparkSession, path: str, run_date: str | None = None) -> DataFrame:
+    """Landed payloads under ``path``, of one run when a date is given.
 
     One run is read from its own directory, so neither listing nor planning grows with the
     number of runs kept, and a missing run is an error. Files named ``_*`` are skipped by
-    the source. ``multiline`` reads one (unsplittable) document per file.
+    the source.
     """
-    reader = (
-        spark.read.schema(PAYLOAD)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", multiline)
-    )
     if run_date is None:
-        payloads = reader.json(path)
+        payloads = _reader(spark).json(path)
     else:
-        payloads = reader.option("basePath", path).json(f"{path.rstrip('/')}/run_date={run_date}")
-    if "run_date" in payloads.columns:
-        payloads = payloads.withColumn("run_date", F.col("run_date").cast("date"))
-    return payloads
+        payloads = _reader(spark).option("basePath", path).json(f"{path.rstrip('/')}/run_date={run_date}")
+    return payloads.withColumn("run_date", F.col("run_date").cast("date"))
+
+
+def scan_documents(spark: SparkSession, path: str, run_date: str) -> DataFrame:
+    """Payloads kept as one indented document per city in a directory per run date. Such
+    files cannot be split, but Spark packs many of them into one task."""
+    payloads = _reader(spark).option("multiLine", True).json(f"{path.rstrip('/')}/{run_date}")
+    return payloads.withColumn("run_date", F.lit(run_date).cast("date"))
 
 
 def reject_reason() -> Column:
@@ -85,13 +88,12 @@ def explode_daily(payloads: DataFrame) -> DataFrame:
         F.coalesce(F.col("daily")[c], F.array().cast("array<string>")).alias(c) for c in DAILY_COLUMNS
     ]
     envelope = [
+        "run_date",
         F.col("_city_name").alias("city"),
         "latitude",
         "longitude",
         F.col("_extracted_at").alias("extracted_at"),
     ]
-    if "run_date" in payloads.columns:
-        envelope.insert(0, "run_date")
     return payloads.select(*envelope, F.inline(F.arrays_zip(*arrays)).alias(*DAILY_COLUMNS))
 
 

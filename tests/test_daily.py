@@ -105,18 +105,22 @@ def test_landing_replaces_its_run_only(spark, folder):
     assert sorted((str(r[0]), r[1]) for r in names) == [("2024-03-01", "Taza"), ("2024-03-02", "Fès")]
 
 
-def test_multiline_documents(spark, folder):
-    os.makedirs(f"{folder}/bronze/run_date=2024-03-01")
-    add_file(
-        folder,
-        "2024-03-01",
-        "Safi.json",
-        '{\n "latitude": 1.5,\n "longitude": 2,\n "daily": {\n  "time": ["2024-03-01"],\n  "temperature_2m_max": [20]\n },'
+def test_documents(spark, folder):
+    """One indented document per city, in a folder per run."""
+    os.makedirs(f"{folder}/bronze/2024-03-01")
+    files = {
+        "Safi.json": '{\n "latitude": 1.5,\n "daily": {\n  "time": ["2024-03-01"],\n  "temperature_2m_max": [20]\n },'
         '\n "_city_name": "Safi",\n "_extracted_at": "2024-03-01T06:00:00"\n}\n',
-    )
-    add_file(folder, "2024-03-01", "bad.json", "{\n not json")
-    outcome = daily.run_silver(spark, folder, "2024-03-01", multiline=True)
+        "bad.json": "{\n not json",
+        "_manifest.json": '{\n "run_date": "2024-03-01"\n}',
+    }
+    for name, text in files.items():
+        with open(f"{folder}/bronze/2024-03-01/{name}", "w", encoding="utf-8") as f:
+            f.write(text)
+    outcome = daily.run_silver(spark, folder, "2024-03-01", documents=True)
     assert (outcome.counts["usable"], outcome.counts["rejected"]) == (1, 1)
+    row = layers.read_layer(spark, f"{folder}/silver", schemas.SILVER, "2024-03-01").first()
+    assert (row["city"], row["temp_max"], row["weather_code"]) == ("Safi", 20.0, None)
 
 
 def test_three_days_loaded_and_replayed(spark, folder, sf_dir):
@@ -166,8 +170,10 @@ def test_manifest(spark, folder):
     path = os.path.join(folder, "cities.csv")
     with open(path, "w", encoding="utf-8") as f:
         f.write("city,lat,lng,extra\nSafi,1,2,x\nTaza,3,4,x\nFès,,4,x\n")
-    rows = daily.run_manifest(spark, folder, "2024-03-01", path).collect()
-    assert [(r["total_cities"], r["success_count"], r["failed_city"]) for r in rows] == [(2, 1, "Taza")]
+    counts = daily.run_manifest(spark, folder, "2024-03-01", path).counts
+    assert counts == {"total_cities": 2, "success_count": 1, "failed_cities": 1}
+    stored = spark.read.parquet(f"{folder}/manifest").collect()
+    assert [(str(r["run_date"]), r["failed_city"]) for r in stored] == [("2024-03-01", "Taza")]
     outcome = daily.run_silver(spark, folder, "2024-03-01", path)
     assert outcome.report["unmatched_rows"] == 0
 
@@ -184,7 +190,7 @@ def test_sample_runs(spark):
         ("2026-09-17", 14.8709, 47.1, 30, "Martil"),
         ("2026-09-21", 12.6188, 27.8, 2, "Taroudannt"),
     ]:
-        payloads = bronze.scan_bronze(spark, f"{sample}/{day}", multiline=True)
+        payloads = bronze.scan_documents(spark, sample, day)
         rows = gold_plan.gold(silver_plan.from_payloads(payloads), day).cache()
         assert rows.count() == 714
         figures = rows.agg(F.avg("risk_score"), F.max("risk_score")).first()
