@@ -155,6 +155,32 @@ def test_three_days_loaded_and_replayed(spark, folder, sf_dir):
     assert marts.kpis(daily.open_view(spark, folder)).first()["n_cities"] == len(dim_before)
 
 
+def test_load_rewrites_its_days_only(spark, folder):
+    land(spark, folder, [payload("Safi", ["2024-03-01", "2024-03-02"]), payload("Fès", ["2024-03-02", "2024-03-03"], run_date="2024-03-02")])
+    daily.run_day(spark, folder, "2024-03-01", LOADED)
+
+    def files(day):
+        return sorted(os.listdir(f"{folder}/fact/forecast_date={day}"))
+
+    first, second = files("2024-03-01"), files("2024-03-02")
+    daily.run_day(spark, folder, "2024-03-02", LOADED)
+    assert files("2024-03-01") == first and files("2024-03-02") != second
+    keys = daily.read_fact(spark, f"{folder}/fact").join(daily.read_dim(spark, f"{folder}/dim")[0], "city_id")
+    assert sorted((r["city_name"], r["forecast_date"].day) for r in keys.collect()) == [
+        ("Fès", 2),
+        ("Fès", 3),
+        ("Safi", 1),
+        ("Safi", 2),
+    ]
+
+
+def test_cities_without_coordinates_are_left_out(spark, folder):
+    row = payload("Safi", ["2024-03-01"])
+    land(spark, folder, [row, {**payload("Taza", ["2024-03-01"]), "latitude": None}])
+    outcomes = daily.run_day(spark, folder, "2024-03-01", LOADED)
+    assert outcomes["load"].counts == {"cities": 1, "loaded": 1, "left_out": 1}
+
+
 def test_csv_copies(spark, folder):
     land(spark, folder, [payload(" Fès ", ["2024-03-02", "2024-03-01"]), payload("Safi", ["2024-03-01"])])
     daily.run_day(spark, folder, "2024-03-01", LOADED, csv=True)
