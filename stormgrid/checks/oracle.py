@@ -410,7 +410,7 @@ ORACLE: dict[str, str] = {
     "q1_hottest": WX
     + f"""SELECT city_name, round({_exact_mean("temp_max")}, 2) AS avg_temp_max,
                  CAST(max(temp_max) AS DOUBLE) AS peak_temp_max
-          FROM fact JOIN dim USING (city_id) GROUP BY city_name ORDER BY avg_temp_max DESC, city_name LIMIT 10""",
+          FROM fact JOIN dim USING (city_id) GROUP BY city_name ORDER BY avg_temp_max DESC NULLS FIRST, city_name LIMIT 10""",
     "q2_wettest": WX
     + f"""SELECT city_name, CAST(sum(precipitation_mm) AS DOUBLE) AS total_mm,
                  {_exact_mean("precipitation_prob")} AS avg_probability

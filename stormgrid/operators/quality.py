@@ -33,13 +33,13 @@ def missing_pct(silver: DataFrame) -> DataFrame:
 
 
 def days_per_city(silver: DataFrame) -> DataFrame:
-    return silver.groupBy("city").agg(F.count_distinct("forecast_date").alias("days"))
+    named = silver.where(F.col("city").isNotNull())
+    return named.groupBy("city").agg(F.count_distinct("forecast_date").alias("days"))
 
 
 def coverage_evenness(silver: DataFrame) -> DataFrame:
     """Do all cities have the same number of days?"""
-    days = days_per_city(silver.where(F.col("city").isNotNull()))
-    spread = days.agg(F.min("days").alias("min_days"), F.max("days").alias("max_days"))
+    spread = days_per_city(silver).agg(F.min("days").alias("min_days"), F.max("days").alias("max_days"))
     return spread.withColumn(
         "uneven", F.coalesce(F.col("min_days") != F.col("max_days"), F.lit(False))
     )

@@ -11,7 +11,6 @@ from stormgrid.operators.numbering import number_in_order
 from stormgrid.operators.sizing import join_dimension
 from stormgrid.schemas import (
     DIM,
-    FACT,
     FACT_KEY,
     HISTORY_COLUMNS,
     SERVING_TYPES,

@@ -83,13 +83,16 @@ def run_silver(
     layers.write_layer(silver, f"{root}/silver", "run_date", ["city", "forecast_date"])
 
     counts = read.get
+    # Rejects are rare: only a run that has some is read a second time. Without any, an empty
+    # table still replaces what an earlier attempt at this run may have set aside.
+    rejects = bronze.quarantine(payloads).drop("run_date")
+    if counts.get("rejected"):
+        log.warning("%s: %d payloads set aside", run_date, counts["rejected"])
+    else:
+        rejects = spark.createDataFrame([], rejects.schema)
+    rejects.write.mode("overwrite").parquet(f"{root}/quarantine/run_date={run_date}")
     if not counts.get("usable"):
         raise bronze.NothingUsable(f"no usable payload for {run_date} under {root}/bronze")
-    if counts["rejected"]:
-        # Rejects are rare: only a run that has some is read a second time.
-        rejects = bronze.quarantine(payloads)
-        layers.write_layer(rejects, f"{root}/quarantine", "run_date", ["reason"])
-        log.warning("%s: %d payloads set aside", run_date, counts["rejected"])
     counts.update(ruled.get)
 
     stored = layers.read_layer(spark, f"{root}/silver", schemas.SILVER, run_date)

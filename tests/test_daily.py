@@ -77,6 +77,12 @@ def test_run_with_defects(spark, folder):
     reasons = spark.read.parquet(f"{folder}/quarantine").select("reason").collect()
     assert sorted(r["reason"] for r in reasons) == ["length_mismatch", "malformed", "no_daily"]
 
+    # the run lands again, sound this time
+    land(spark, folder, [payload("Safi", ["2024-03-01"])])
+    assert daily.run_silver(spark, folder, "2024-03-01").counts["rejected"] == 0
+    assert spark.read.parquet(f"{folder}/quarantine").isEmpty()
+    assert layers.read_layer(spark, f"{folder}/silver", schemas.SILVER, "2024-03-01").count() == 1
+
 
 def test_nothing_usable(spark, folder):
     land(spark, folder, [payload("Taza", ["2024-03-01"], daily={"weather_code": ["1", "2"]})])
