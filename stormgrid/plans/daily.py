@@ -10,7 +10,6 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from stormgrid import schemas
@@ -124,13 +123,9 @@ def run_gold(spark: SparkSession, root: str, run_date: str) -> Outcome:
 
 def read_dim(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     """The newest version of the dimension and its number; no rows and 0 before the first."""
-    try:
-        versions = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    if not layers.exists(spark, path):
         return spark.createDataFrame([], schemas.DIM), 0
-    newest = versions.agg(F.max("version")).first()[0]
+    newest = spark.read.parquet(path).agg(F.max("version")).first()[0]
     return spark.read.schema(schemas.DIM).parquet(f"{path}/version={newest}"), newest
 
 

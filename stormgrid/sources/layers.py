@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from stormgrid.schemas import nan_to_null
@@ -61,11 +60,14 @@ def export_csv(df: DataFrame, path: str, partition: str = "run_date") -> None:
     )
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whichever file system it names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table, or no rows of its declared shape before its first load."""
-    try:
+    if exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
