@@ -122,10 +122,17 @@ def run_gold(spark: SparkSession, root: str, run_date: str) -> Outcome:
 
 
 def read_dim(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
-    """The newest version of the dimension and its number; no rows and 0 before the first."""
-    if not layers.exists(spark, path):
+    """The newest version of the dimension and its number; no rows and 0 before the first.
+
+    Files appear in a version's folder when its job commits, so what a broken load left
+    behind holds no rows and is not a version.
+    """
+    newest = None
+    if layers.exists(spark, path):
+        versioned = spark.read.schema(schemas.VERSIONED_DIM).parquet(path)
+        newest = versioned.agg(F.max("version")).first()[0]
+    if newest is None:
         return spark.createDataFrame([], schemas.DIM), 0
-    newest = spark.read.parquet(path).agg(F.max("version")).first()[0]
     return spark.read.schema(schemas.DIM).parquet(f"{path}/version={newest}"), newest
 
 

@@ -84,6 +84,8 @@ DIM = T.StructType(
     ]
 )
 
+VERSIONED_DIM = T.StructType([*DIM.fields, T.StructField("version", T.IntegerType())])
+
 NARROW = T.DecimalType(5, 2)
 # Declared types of the serving columns; a value that does not fit is an error.
 SERVING_TYPES = {

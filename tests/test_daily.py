@@ -187,6 +187,15 @@ def test_cities_without_coordinates_are_left_out(spark, folder):
     assert outcomes["load"].counts == {"cities": 1, "loaded": 1, "left_out": 1}
 
 
+def test_a_broken_dimension_load_is_no_version(spark, folder):
+    os.makedirs(f"{folder}/dim/version=1/_temporary")
+    assert daily.read_dim(spark, f"{folder}/dim")[1] == 0
+    land(spark, folder, [payload("Safi", ["2024-03-01"])])
+    daily.run_day(spark, folder, "2024-03-01", LOADED)
+    dim, version = daily.read_dim(spark, f"{folder}/dim")
+    assert version == 1 and [r["city_name"] for r in dim.collect()] == ["Safi"]
+
+
 def test_csv_copies(spark, folder):
     land(spark, folder, [payload(" Fès ", ["2024-03-02", "2024-03-01"]), payload("Safi", ["2024-03-01"])])
     daily.run_day(spark, folder, "2024-03-01", LOADED, csv=True)
