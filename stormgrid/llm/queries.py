@@ -9,7 +9,19 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stormgrid.llm import bpe, mixing, neardup, oracle, secret_ledger, toxicity, warc
+from stormgrid.llm import (
+    bpe,
+    license_scan,
+    mixing,
+    neardup,
+    neighbours,
+    oracle,
+    quality_mil,
+    quality_rules,
+    secret_ledger,
+    toxicity,
+    warc,
+)
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +77,28 @@ def op5(table) -> DataFrame:
     return bpe.encode(table("documents").select("doc_id", "text"), VOCABULARY, digests=True)
 
 
+@query("op6_license_scan")
+def op6(table) -> DataFrame:
+    return license_scan.scan(table("documents"))
+
+
+@query("op7_nearest_neighbours")
+def op7(table) -> DataFrame:
+    return neighbours.search_table(table("embeddings"))
+
+
+@query("op8_quality_rules")
+def op8(table) -> DataFrame:
+    docs = table("documents")
+    return quality_rules.judge(docs, quality_rules.fit(docs, table("labels")))
+
+
+@query("op9_quality_mil")
+def op9(table) -> DataFrame:
+    docs = table("documents")
+    return quality_mil.score(docs, quality_mil.fit(docs, table("labels")))
+
+
 @query("op10_secret_ledger")
 def op10(table) -> DataFrame:
     return secret_ledger.report(table("documents"))
