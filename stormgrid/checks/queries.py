@@ -302,7 +302,7 @@ def gold_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _reference(spark: SparkSession, sf: str) -> DataFrame:
-    return reference.reference_list(cities.drop_null_coords(fx.city_list(spark, sf)), "position")
+    return reference.reference_list(cities.drop_null_coords(fx.partial_city_list(spark, sf)), "position")
 
 
 @query

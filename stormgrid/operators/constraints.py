@@ -37,6 +37,19 @@ def _surplus(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+class ConstraintViolated(ValueError):
+    """Rows to load break constraints that the tables declare."""
+
+
+def enforce(dim: DataFrame, fact: DataFrame) -> None:
+    """Raise with every broken rule and its count, one row a rule, before anything is written."""
+    broken = constraint_violations(dim, fact).where("violations > 0").collect()
+    if broken:
+        raise ConstraintViolated(
+            "; ".join(f"{r['table_name']}: {r['rule']}: {r['violations']}" for r in sorted(broken))
+        )
+
+
 def constraint_violations(dim: DataFrame, fact: DataFrame) -> DataFrame:
     """One row per constraint with its number of violations."""
     per_city = fact.groupBy("city_id").agg(F.count("*").alias("rows"))

@@ -45,15 +45,16 @@ def unmatched(df: DataFrame, reference: DataFrame) -> DataFrame:
 def coverage(expected: DataFrame, landed: DataFrame, keys: Sequence[str] = ("run_date",)) -> DataFrame:
     """Manifest rows: per run the expected and landed counts with one row per failed city.
 
-    A run without failures keeps one row with a null city. The failed names stay rows: as an
+    Counts are of the list's rows, a repeated name as often as it is listed. A run without failures keeps one row with a null city. The failed names stay rows: as an
     array they would have to meet in one task.
     """
     keys = list(keys)
-    wanted = expected.select(*keys, "city").distinct()
+    wanted = expected.groupBy(*keys, "city").agg(F.count("*").alias("_listed"))
     arrived = landed.select(*keys, "city").distinct().withColumn("_landed", F.lit(True))
     status = wanted.join(arrived, [*keys, "city"], "left")
     totals = status.groupBy(*keys).agg(
-        F.count("*").alias("total_cities"), F.count("_landed").alias("success_count")
+        F.sum("_listed").alias("total_cities"),
+        F.coalesce(F.sum(F.when(F.col("_landed"), F.col("_listed"))), F.lit(0)).alias("success_count"),
     )
     failed = status.where(F.col("_landed").isNull()).select(*keys, F.col("city").alias("failed_city"))
     # One row per run date: small enough to broadcast however many cities there are. Keyed on

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Dimension rows are a few numbers and a name of at most 100 characters: under 20 MB.
+from stormgrid.session import scratch
+
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 20_000_000
 
 
 def is_small(df: DataFrame) -> bool:
-    """Counted, but no further than the limit."""
-    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    """Whether rows and text are few enough to broadcast: one distributed aggregate, which sends
+    a single row from each task."""
+    texts = [F.octet_length(f.name) for f in df.schema.fields if f.dataType.typeName() == "string"]
+    width = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(16 * len(df.columns)))
+    n, size = df.agg(F.count("*"), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
+    return n <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
 def broadcast_if_bounded(df: DataFrame, bound: DataFrame) -> DataFrame:
@@ -26,23 +32,27 @@ def broadcast_if_bounded(df: DataFrame, bound: DataFrame) -> DataFrame:
 def join_dimension(df: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join rows, however unevenly spread over the key, with a table unique on it.
 
-    A small dimension is broadcast. A larger one is joined by shuffle, but for the keys that
-    hold more than one shuffle partition's share of the rows: fewer such keys can exist than
-    partitions, so their dimension rows are always few enough to broadcast, and their rows
-    stay where they are. Rows without a key match nothing and skip the shuffle too.
+    A small dimension is broadcast. A larger one is joined by shuffle, and the keys that hold
+    more than one shuffle partition's share of the rows are spread over all partitions by a salt:
+    fewer such keys can exist than partitions. Rows without a key match nothing and are spread
+    too. The rows are read twice, once to count their keys.
     """
     if is_small(dim):
         return df.join(F.broadcast(dim), key, how)
-    share = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = F.broadcast(counts.where(F.col("_n") * share > total).select(key))
-    hot_dim = F.broadcast(dim.join(hot, key, "left_semi"))
-    joined = (
-        df.join(hot, key, "left_semi")
-        .join(hot_dim, key, how)
-        .unionByName(df.where(F.col(key).isNotNull()).join(hot, key, "left_anti").join(dim, key, how))
-    )
-    if how == "left":
-        joined = joined.unionByName(df.where(F.col(key).isNull()), allowMissingColumns=True)
-    return joined
+    spark = df.sparkSession
+    share = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # counted once, into a table: hot keys are fewer than there are partitions
+    counted, path = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")), scratch(spark, "counts")
+    counted.write.parquet(path)
+    counts = spark.read.schema(counted.schema).parquet(path)
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    hot = counts.where(F.col("_n") * share > total).select(key, F.lit(True).alias("_hot"))
+    # the rows are read once more: hot ones, and those without a key, are dealt by a salt, and
+    # the few dimension rows of hot keys are repeated for every salt
+    tagged = df.join(F.broadcast(hot), key, "left")
+    spread = F.coalesce("_hot", F.lit(False)) | F.col(key).isNull()
+    deal = F.xxhash64(*df.columns, F.spark_partition_id())  # equal rows of several tasks part
+    salt = F.when(spread, F.pmod(deal, F.lit(share)).cast("int")).otherwise(F.lit(0))
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(share - 1))).otherwise(F.array(F.lit(0)))
+    repeated = dim.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    return tagged.withColumn("_salt", salt).drop("_hot").join(repeated, [key, "_salt"], how).drop("_salt")

@@ -88,6 +88,12 @@ def serving_rows(gold: DataFrame, dim: DataFrame, loaded_at: Column) -> DataFram
     )
 
 
+def placeable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Fact rows with a date, and the others with the reason why they cannot be loaded."""
+    dated = F.col("forecast_date").isNotNull()
+    return rows.where(dated), rows.where(~dated).withColumn("reason", F.lit("no_date"))
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("rows")).where("rows > 1")
 
@@ -109,6 +115,7 @@ def upsert_fact(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] =
 
 
 def cascade_delete(fact: DataFrame, deleted: DataFrame) -> DataFrame:
+    """Rows of the fact, the history or the dimension without those of deleted cities."""
     return fact.join(deleted.select("city_id"), "city_id", "left_anti")
 
 

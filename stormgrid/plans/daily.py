@@ -13,9 +13,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from stormgrid import schemas
-from stormgrid.operators import clean, quality, reference, upsert
+from stormgrid.operators import clean, constraints, quality, reference, upsert
 from stormgrid.plans import gold as gold_plan, silver as silver_plan
-from stormgrid.session import scratch
+from stormgrid.session import require_ansi, scratch
 from stormgrid.sources import bronze, cities, layers
 
 log = logging.getLogger("stormgrid")
@@ -43,6 +43,12 @@ def _payloads(spark: SparkSession, root: str, run_date: str, documents: bool) ->
     return scan(spark, f"{root}/bronze", run_date)
 
 
+def _write_run(df: DataFrame, path: str, run_date: str, order: list[str]) -> None:
+    """Replace a run's own folder, also when the run now has no rows."""
+    rows = df.drop("run_date").sortWithinPartitions(*order)
+    rows.write.mode("overwrite").parquet(f"{path}/run_date={run_date}")
+
+
 def run_manifest(
     spark: SparkSession, root: str, run_date: str, city_file: str, documents: bool = False
 ) -> Outcome:
@@ -50,12 +56,13 @@ def run_manifest(
     day = _run_day(run_date).alias("run_date")
     expected = cities.load_cities(spark, city_file).select(day, "city")
     landed = _payloads(spark, root, run_date, documents).select("run_date", F.col("_city_name").alias("city"))
-    layers.write_layer(reference.coverage(expected, landed), f"{root}/manifest", "run_date", ["failed_city"])
-    stored = spark.read.option("basePath", f"{root}/manifest").parquet(f"{root}/manifest/run_date={run_date}")
+    covered = reference.coverage(expected, landed)
+    _write_run(covered, f"{root}/manifest", run_date, ["failed_city"])
+    stored = spark.read.schema(covered.schema).parquet(f"{root}/manifest/run_date={run_date}")
     counts = _row(
         stored.agg(
-            F.max("total_cities").alias("total_cities"),
-            F.max("success_count").alias("success_count"),
+            F.coalesce(F.max("total_cities"), F.lit(0)).alias("total_cities"),
+            F.coalesce(F.max("success_count"), F.lit(0)).alias("success_count"),
             F.count("failed_city").alias("failed_cities"),
         )
     )
@@ -121,27 +128,44 @@ def run_gold(spark: SparkSession, root: str, run_date: str) -> Outcome:
 # --- serving tables -----------------------------------------------------------------------
 
 
+DIM_VERSIONS_KEPT = 3
+
+
+def _committed_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the versions whose job committed, by their folders' names; no data is read."""
+    names = (layers.names(spark, path, "version=") if layers.exists(spark, path) else [])
+    numbers = sorted(int(n.partition("=")[2]) for n in names)
+    return [n for n in numbers if layers.exists(spark, f"{path}/version={n}/_SUCCESS")]
+
+
 def read_dim(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     """The newest version of the dimension and its number; no rows and 0 before the first.
 
-    Files appear in a version's folder when its job commits, so what a broken load left
-    behind holds no rows and is not a version.
+    A version's folder is marked when its job commits, so what a broken load left behind is
+    not a version. Only the newest is read, however many there are.
     """
-    newest = None
-    if layers.exists(spark, path):
-        versioned = spark.read.schema(schemas.VERSIONED_DIM).parquet(path)
-        newest = versioned.agg(F.max("version")).first()[0]
-    if newest is None:
+    versions = _committed_versions(spark, path)
+    if not versions:
         return spark.createDataFrame([], schemas.DIM), 0
-    return spark.read.schema(schemas.DIM).parquet(f"{path}/version={newest}"), newest
+    return spark.read.schema(schemas.DIM).parquet(f"{path}/version={versions[-1]}"), versions[-1]
 
 
-def load_dim(spark: SparkSession, path: str, gold: DataFrame) -> DataFrame:
-    """Write the upserted dimension as its next version; readers of the current one, this job
-    included, are not disturbed, and the folder appears only when the job commits."""
-    existing, version = read_dim(spark, path)
+def next_dim(spark: SparkSession, path: str, gold: DataFrame) -> DataFrame:
+    """The dimension with a load's cities, not yet stored as a version."""
+    existing, _ = read_dim(spark, path)
     incoming = upsert.with_coordinates(upsert.incoming_cities(gold))
-    upsert.upsert_dim(existing, incoming).write.mode("overwrite").parquet(f"{path}/version={version + 1}")
+    staged = scratch(spark, "dim")
+    upsert.upsert_dim(existing, incoming).write.parquet(staged)
+    return spark.read.schema(schemas.DIM).parquet(staged)
+
+
+def load_dim(spark: SparkSession, path: str, dim: DataFrame) -> DataFrame:
+    """Write the dimension as its next version; readers of the current one are not disturbed, and
+    the folder counts only once the job commits. All but the last few versions are dropped."""
+    _, version = read_dim(spark, path)
+    dim.write.mode("overwrite").parquet(f"{path}/version={version + 1}")
+    for old in _committed_versions(spark, path)[:-DIM_VERSIONS_KEPT]:
+        layers.drop(spark, f"{path}/version={old}")
     return read_dim(spark, path)[0]
 
 
@@ -149,41 +173,88 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return layers.read_or_empty(spark, path, schemas.FACT)
 
 
+# A run brings a week or so of days. Beyond this many, they are joined in place of listed.
+LISTED_DAYS = 1000
+
+
 def load_fact(spark: SparkSession, path: str, incoming: DataFrame) -> None:
     """Upsert into the fact, which is partitioned by forecast date.
 
-    Only the days a load brings are read and rewritten, however long the table is. The
-    merged days go to a folder of their own first: a path must not be overwritten by a plan
-    that reads it, and a load cut short between the two writes can be repeated.
+    Only the days that a load brings are read and rewritten, not those between them. The merged
+    days go to a folder of their own first: a path must not be overwritten by a plan that reads
+    it, and a load cut short between the two writes can be repeated.
     """
     upsert.require_unique(incoming, schemas.FACT_KEY, "load")
-    days = incoming.agg(F.min("forecast_date"), F.max("forecast_date")).first()
-    if days[0] is None:
+    days = incoming.select("forecast_date").distinct()
+    listed = [r[0] for r in days.limit(LISTED_DAYS + 1).collect()]
+    if None in listed:
+        raise constraints.ConstraintViolated("fact: forecast_date not null")
+    if not listed:
         return
-    touched = read_fact(spark, path).where(F.col("forecast_date").between(*days))
+    fact = read_fact(spark, path)
+    few = len(listed) <= LISTED_DAYS
+    touched = fact.where(F.col("forecast_date").isin(listed)) if few else fact.join(days, "forecast_date", "left_semi")
     staged = scratch(spark, "fact")
-    merged = upsert.upsert_fact(touched, incoming)
-    merged.write.parquet(staged)
+    upsert.upsert_fact(touched, incoming).write.parquet(staged)
     merged_days = spark.read.schema(schemas.FACT).parquet(staged)
     layers.write_spread(merged_days, path, "forecast_date", ["city_id"])
 
 
 def run_load(spark: SparkSession, root: str, run_date: str, loaded_at: str) -> Outcome:
+    """Load a run's gold rows. Rows without a date cannot be placed: they are set aside, with a
+    reason and a count. Everything else that breaks a constraint ends the load before any table
+    is written."""
+    require_ansi(spark)
     gold = layers.read_layer(spark, f"{root}/gold", schemas.GOLD, run_date)
-    dim = load_dim(spark, f"{root}/dim", gold)
+    dim = next_dim(spark, f"{root}/dim", gold)
     staged = scratch(spark, "load")
     upsert.serving_rows(gold, dim, F.lit(loaded_at)).write.parquet(staged)
-    incoming = spark.read.schema(schemas.FACT).parquet(staged)
+    rows = spark.read.schema(schemas.FACT).parquet(staged)
+    incoming, rejected = upsert.placeable(rows)
+    constraints.enforce(dim, incoming)
+
+    dim = load_dim(spark, f"{root}/dim", dim)
+    _write_run(rejected, f"{root}/rejected", run_date, ["city_id"])
     load_fact(spark, f"{root}/fact", incoming)
     history = upsert.history_rows(incoming, _run_day(run_date), F.lit(loaded_at))
-    layers.write_layer(history, f"{root}/history", "run_date", ["city_id", "forecast_date"])
+    _write_run(history, f"{root}/history", run_date, ["city_id", "forecast_date"])
 
     left_out = upsert.unmapped_cities(gold, dim).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
-    counts = {"cities": dim.count(), "loaded": incoming.count(), "left_out": left_out.first()["rows"]}
+    counts = {
+        "cities": dim.count(),
+        "loaded": incoming.count(),
+        "rejected": rejected.count(),
+        "left_out": left_out.first()["rows"],
+    }
     log.info("load %s: %s", run_date, counts)
     return Outcome(counts)
 
 
+def remove_cities(spark: SparkSession, root: str, deleted: DataFrame) -> None:
+    """Take cities out of the dimension, the fact and the history; other partitions stay as they are."""
+    ids = scratch(spark, "deleted")
+    deleted.select("city_id").distinct().write.parquet(ids)
+    deleted = spark.read.parquet(ids)
+    for table, schema, key in (("fact", schemas.FACT, "forecast_date"), ("history", None, "run_date")):
+        path = f"{root}/{table}"
+        if not layers.exists(spark, path):
+            continue
+        rows = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
+        affected = rows.join(deleted, "city_id", "left_semi").select(key).distinct()
+        parts = [r[0] for r in affected.collect()]  # one row per stored day
+        staged = scratch(spark, table)
+        upsert.cascade_delete(rows.where(F.col(key).isin(parts)), deleted).write.parquet(staged)
+        rest = spark.read.schema(rows.schema).parquet(staged)
+        order = [c for c in ("city_id", "forecast_date") if c != key]
+        layers.write_layer(rest.hint("rebalance", key), path, key, order)
+        kept = {r[0] for r in rest.select(key).distinct().collect()}
+        for part in parts:  # nothing is left to overwrite these with
+            if part not in kept:
+                layers.drop(spark, f"{path}/{key}={part}")
+    dim, _ = read_dim(spark, f"{root}/dim")
+    load_dim(spark, f"{root}/dim", upsert.cascade_delete(dim, deleted))
+
+
 def export_day(spark: SparkSession, root: str, run_date: str) -> None:
     """CSV copies of a run's silver and gold, ordered as the tables are."""
     for layer, schema in [("silver", schemas.SILVER), ("gold", schemas.GOLD)]:

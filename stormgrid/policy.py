@@ -29,7 +29,6 @@ GUST_ABOVE = "Violent"
 LEVEL_BANDS = [(25.0, "Faible"), (50.0, "Modéré"), (75.0, "Élevé")]
 LEVEL_ABOVE = "Critique"
 
-RISK_LEVELS = ["Faible", "Modéré", "Élevé", "Critique"]
 HIGH_RISK_LEVELS = ["Élevé", "Critique"]
 HIGH_RISK_SCORE = 50.0
 

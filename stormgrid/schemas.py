@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# Payload array -> silver column. The arrays are declared as text: one bad element then costs
+# FIXED VALUES: payload array -> silver column. The arrays are declared as text: one bad element then costs
 # one cell, while a numeric element type would void the whole array.
 DAILY_COLUMNS = {
     "time": "forecast_date",

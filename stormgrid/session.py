@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # a value that does not fit its declared type is an error, never a silent null
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     # call-site capture doubles the driver's round trips while a plan is put together
@@ -28,6 +30,12 @@ def build_session(name: str = "stormgrid", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def require_ansi(spark: SparkSession) -> None:
+    """Refuse to load where casts would turn values that do not fit into nulls."""
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise RuntimeError("set spark.sql.ansi.enabled to true: values that do not fit must raise")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's folder for checkpoints and intermediate tables.
 

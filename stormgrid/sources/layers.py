@@ -60,10 +60,26 @@ def export_csv(df: DataFrame, path: str, partition: str = "run_date") -> None:
     )
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path is there, on whichever file system it names."""
+def _located(spark: SparkSession, path: str):
+    """A path and its file system, whichever it names. Needs a classic session."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target, system = _located(spark, path)
+    return system.exists(target)
+
+
+def names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names in a folder that begin so."""
+    target, system = _located(spark, path)
+    return [n for n in (f.getPath().getName() for f in system.listStatus(target)) if n.startswith(prefix)]
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    target, system = _located(spark, path)
+    system.delete(target, True)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

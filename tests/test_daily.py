@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stormgrid import schemas
 from stormgrid.checks import fixtures as fx
-from stormgrid.operators import marts, upsert
+from stormgrid.operators import constraints, marts, upsert
 from stormgrid.plans import daily
 from stormgrid.sources import bronze, layers
 
@@ -180,11 +180,100 @@ def test_load_rewrites_its_days_only(spark, folder):
     ]
 
 
+def fact_days(spark, folder):
+    return sorted(str(r["forecast_date"]) for r in daily.read_fact(spark, f"{folder}/fact").collect())
+
+
+def test_rows_without_a_date_are_set_aside(spark, folder):
+    """Neither a later load nor a run of nothing else loses or keeps them."""
+    land(spark, folder, [payload("Safi", ["2024-03-01", "bad"]), payload("Fès", ["2024-03-01", "bad"], run_date="2024-03-02")])
+    for day in ("2024-03-01", "2024-03-02"):
+        assert daily.run_day(spark, folder, day, LOADED)["load"].counts["rejected"] == 1
+    assert fact_days(spark, folder) == ["2024-03-01", "2024-03-01"]
+    rejected = spark.read.parquet(f"{folder}/rejected").collect()
+    assert sorted((str(r["run_date"]), r["reason"]) for r in rejected) == [("2024-03-01", "no_date"), ("2024-03-02", "no_date")]
+
+    land(spark, folder, [payload("Safi", ["bad"], run_date="2024-03-03")])
+    counts = daily.run_day(spark, folder, "2024-03-03", LOADED)["load"].counts
+    assert (counts["loaded"], counts["rejected"]) == (0, 1)
+    assert spark.read.parquet(f"{folder}/history").where("run_date = '2024-03-03'").isEmpty()
+
+
+def test_days_between_are_not_touched(spark, folder):
+    week = [f"2024-03-0{d}" for d in range(1, 8)]
+    land(spark, folder, [payload("Safi", week), payload("Fès", ["1970-01-01", week[0], week[6]], run_date="2024-03-02")])
+    daily.run_day(spark, folder, "2024-03-01", LOADED)
+    files = lambda: {d: sorted(os.listdir(f"{folder}/fact/forecast_date={d}")) for d in week}
+    before = files()
+    daily.run_day(spark, folder, "2024-03-02", LOADED)
+    after = files()
+    assert {d for d in week if before[d] != after[d]} == {week[0], week[6]}
+    assert len(fact_days(spark, folder)) == 10
+
+
+def test_constraints_end_a_load_before_it_writes(spark, folder):
+    land(spark, folder, [payload("Safi", ["2024-03-01"]), payload("x" * 150, ["2024-03-01"], run_date="2024-03-02")])
+    daily.run_day(spark, folder, "2024-03-01", LOADED)
+    with pytest.raises(constraints.ConstraintViolated, match="city_name at most 100 characters: 1"):
+        daily.run_day(spark, folder, "2024-03-02", LOADED)
+    assert daily.read_dim(spark, f"{folder}/dim")[1] == 1 and len(fact_days(spark, folder)) == 1
+    assert not os.path.exists(f"{folder}/history/run_date=2024-03-02")
+    dim, fact = daily.read_dim(spark, f"{folder}/dim")[0], daily.read_fact(spark, f"{folder}/fact")
+    with pytest.raises(constraints.ConstraintViolated, match="city_id in dim: 1"):
+        constraints.enforce(dim.where("false"), fact)
+    with pytest.raises(constraints.ConstraintViolated, match="not null"):
+        daily.load_fact(spark, f"{folder}/fact", fact.withColumn("forecast_date", F.lit(None).cast("date")))
+
+
+def test_loads_need_ansi(spark, folder):
+    land(spark, folder, [payload("Safi", ["2024-03-01"])])
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(RuntimeError, match="ansi"):
+            daily.run_load(spark, folder, "2024-03-01", LOADED)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_an_empty_rerun_replaces_its_rows(spark, folder):
+    land(spark, folder, [payload("Safi", ["2024-03-01"])])
+    daily.run_day(spark, folder, "2024-03-01", LOADED)
+    land(spark, folder, [payload("Safi", ["bad"])])
+    assert daily.run_day(spark, folder, "2024-03-01", LOADED)["load"].counts["loaded"] == 0
+    assert spark.read.parquet(f"{folder}/history").isEmpty()
+    path = os.path.join(folder, "cities.csv")
+    for text, total in (("Safi,1,2\nSafi,1,2\nTaza,3,4\n", 3), ("", 0)):
+        with open(path, "w", encoding="utf-8") as f:
+            f.write("city,lat,lng\n" + text)
+        assert daily.run_manifest(spark, folder, "2024-03-01", path).counts["total_cities"] == total
+
+
+def test_cities_are_removed_from_all_tables(spark, folder):
+    land(spark, folder, [payload("Safi", ["2024-03-01", "2024-03-02"]), payload("Fès", ["2024-03-02", "2024-03-03"])])
+    daily.run_day(spark, folder, "2024-03-01", LOADED)
+    dim = daily.read_dim(spark, f"{folder}/dim")[0]
+    kept = os.listdir(f"{folder}/fact/forecast_date=2024-03-03")
+    daily.remove_cities(spark, folder, dim.where("city_name = 'Safi'"))
+    assert fact_days(spark, folder) == ["2024-03-02", "2024-03-03"]
+    assert os.listdir(f"{folder}/fact/forecast_date=2024-03-03") == kept
+    assert not os.path.exists(f"{folder}/fact/forecast_date=2024-03-01")
+    assert spark.read.parquet(f"{folder}/history").count() == 2
+    assert [r["city_name"] for r in daily.read_dim(spark, f"{folder}/dim")[0].collect()] == ["Fès"]
+
+
+def test_old_dimension_versions_go(spark, folder):
+    dim = spark.createDataFrame([(1, "Safi", 1.0, 2.0)], schemas.DIM)
+    for _ in range(6):
+        daily.load_dim(spark, f"{folder}/dim", dim)
+    assert daily.read_dim(spark, f"{folder}/dim")[1] == 6
+    assert len(layers.names(spark, f"{folder}/dim", "version=")) == daily.DIM_VERSIONS_KEPT
+
+
 def test_cities_without_coordinates_are_left_out(spark, folder):
     row = payload("Safi", ["2024-03-01"])
     land(spark, folder, [row, {**payload("Taza", ["2024-03-01"]), "latitude": None}])
     outcomes = daily.run_day(spark, folder, "2024-03-01", LOADED)
-    assert outcomes["load"].counts == {"cities": 1, "loaded": 1, "left_out": 1}
+    assert outcomes["load"].counts == {"cities": 1, "loaded": 1, "rejected": 0, "left_out": 1}
 
 
 def test_a_broken_dimension_load_is_no_version(spark, folder):

@@ -294,6 +294,19 @@ def test_join_with_a_dimension_too_large_to_broadcast(spark, monkeypatch, how):
     assert sorted(map(str, split.collect())) == want
 
 
+def test_sums_are_exact_or_an_error(spark):
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            fine = spark.createDataFrame([(1.25,), (999_999.99,), (None,)], "x double")
+            assert fine.agg(exact_mean(F.col("x"))).first()[0] == 500_000.62
+            for bad in (1.005, 2_000_000.0):
+                with pytest.raises(Exception, match="two decimals"):
+                    spark.createDataFrame([(bad,), (1.0,)], "x double").agg(exact_mean(F.col("x"))).collect()
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_reference_list(spark):
     rows = [(" a", 1.0, 2.0, 2), ("a ", 3.0, 4.0, 1), ("b", 5.0, 6.0, 3)]
     listed = spark.createDataFrame(rows, "city string, lat double, lng double, n int")
