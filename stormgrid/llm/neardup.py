@@ -14,7 +14,8 @@ that many documents share is listed only for documents that consist mostly of su
 Long lists are not expanded into pairs. Documents with equal sets are one class from the start.
 Each list first proposes only its most central member to the others. What that connects is
 merged, and then only pairs from different components are compared inside the join, where
-sketches and estimate are at hand, each pair in the first list that holds both.
+sketches and estimate are at hand, each pair in the first list that holds both. Whether a list
+is the first is mostly told by the few values before it, which pairs of like documents share.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ SHINGLE = 5
 PERCENT = 75
 SKETCH = 64
 LEAST_OVERLAP = 28
-WIDE_SKETCH = 256
+WIDE_SKETCH = 160
+LOOK_BACK = 3
 # Union-sketch estimates spread by sqrt(p (1 - p) / k); so many of these spreads below the
 # threshold a pair is let go.
 SPREADS = 6.0
@@ -45,7 +47,7 @@ def _similar(a: Column, b: Column, percent: int) -> Column:
 
 def _estimate_passes(a: Column, b: Column, k: int, percent: int, spreads: float) -> Column:
     """Similarity in the sketch of the union, the k smallest of both, not far below the threshold."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, k)
+    union = F.slice(F.sort_array(F.array_union(a, b)), 1, k)
     share = F.size(F.array_intersect(F.array_intersect(union, a), b))
     p = percent / 100
     slack = spreads * math.sqrt(p * (1 - p) / k)
@@ -87,14 +89,16 @@ def rare_postings(found: DataFrame, k: int, least_overlap: int) -> DataFrame:
     listed = F.col("held") - F.least(need, F.lit(least_overlap)) + 1 - (F.col("held") - F.size("common"))
     return (
         per_doc.withColumn("common", F.expr("common.value"))
-        .withColumn("prefix", F.slice("common", 1, F.greatest(listed, F.lit(0)).cast("int")))
+        .withColumn("prefix", F.sort_array(F.slice("common", 1, F.greatest(listed, F.lit(0)).cast("int"))))
         .where(F.size("prefix") > 0)
         .select("id", "n", "weight", "prefix")
     )
 
 
 def _lists(prefixes: DataFrame) -> DataFrame:
-    return prefixes.select("id", "n", "weight", F.explode("prefix").alias("value"))
+    rows = prefixes.select("id", "n", "weight", "prefix", F.posexplode("prefix").alias("at", "value"))
+    before = [F.get("prefix", F.col("at") - i).alias(f"before{i}") for i in range(1, LOOK_BACK + 1)]
+    return rows.select("id", "n", "weight", "value", *before)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -140,12 +144,17 @@ def _cross_pairs(prefixes: DataFrame, sets: DataFrame, labels: DataFrame, percen
         .withColumn("part", F.coalesce("part", "id"))
     )
     mixed = placed.groupBy("value").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
-    left = placed.join(mixed.select("value"), "value", "left_semi").select("value", "id", "n", "part")
+    left = placed.join(mixed.select("value"), "value", "left_semi").drop("weight")
     held = prefixes.select("id", "prefix").join(
         sets.select("id", F.slice("members", 1, WIDE_SKETCH).alias("wide")), "id"
     )
     left = stored(left.join(held, "id"), "cross-lists")
     a, b = left.alias("x"), left.alias("y")
+    steps = range(1, LOOK_BACK + 1)
+    met_before = F.lit(False)
+    for i in steps:
+        for j in steps:
+            met_before = met_before | F.coalesce(F.col(f"x.before{i}") == F.col(f"y.before{j}"), F.lit(False))
     first_shared = F.array_min(F.array_intersect(F.col("x.prefix"), F.col("y.prefix")))
     return (
         a.join(
@@ -154,6 +163,7 @@ def _cross_pairs(prefixes: DataFrame, sets: DataFrame, labels: DataFrame, percen
             & (F.col("x.part") != F.col("y.part"))
             & (F.col("x.id") < F.col("y.id"))
             & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+            & ~met_before
             & (F.col("x.value") == first_shared)
             & _estimate_passes(F.col("x.wide"), F.col("y.wide"), WIDE_SKETCH, percent, SPREADS),
         )
