@@ -21,7 +21,7 @@ from stormgrid.operators.sizing import join_dimension
 
 LEVELS = ("domain", "lang", "source")
 WORD = r"[^\x20\x09-\x0D]+"
-BUCKET_DOCS = 20_000
+BUCKET_DOCS = 2_000
 
 
 @dataclass(frozen=True)
