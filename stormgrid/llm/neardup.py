@@ -35,7 +35,7 @@ WIDE_SKETCH = 160
 LOOK_BACK = 3
 # Union-sketch estimates spread by sqrt(p (1 - p) / k); so many of these spreads below the
 # threshold a pair is let go.
-SPREADS = 6.0
+SPREADS = 5.0
 
 
 def _similar(a: Column, b: Column, percent: int) -> Column:
@@ -148,7 +148,7 @@ def _cross_pairs(prefixes: DataFrame, sets: DataFrame, labels: DataFrame, percen
     held = prefixes.select("id", "prefix").join(
         sets.select("id", F.slice("members", 1, WIDE_SKETCH).alias("wide")), "id"
     )
-    left = stored(left.join(held, "id"), "cross-lists")
+    left = left.join(held, "id")
     a, b = left.alias("x"), left.alias("y")
     steps = range(1, LOOK_BACK + 1)
     met_before = F.lit(False)
@@ -165,7 +165,11 @@ def _cross_pairs(prefixes: DataFrame, sets: DataFrame, labels: DataFrame, percen
             & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
             & ~met_before
             & (F.col("x.value") == first_shared)
-            & _estimate_passes(F.col("x.wide"), F.col("y.wide"), WIDE_SKETCH, percent, SPREADS),
+            & F.when(
+                # two sketches that hold their whole sets: the figure is exact, none are let through in vain
+                (F.col("x.n") <= WIDE_SKETCH) & (F.col("y.n") <= WIDE_SKETCH),
+                _similar(F.col("x.wide"), F.col("y.wide"), percent),
+            ).otherwise(_estimate_passes(F.col("x.wide"), F.col("y.wide"), WIDE_SKETCH, percent, SPREADS)),
         )
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
         .distinct()
