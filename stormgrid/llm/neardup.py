@@ -14,7 +14,8 @@ that many documents share is listed only for documents that consist mostly of su
 Long lists are not expanded into pairs. Documents with equal sets are one class from the start.
 Each list first proposes only its most central member to the others. What that connects is
 merged, and then only pairs from different components are compared inside the join, where
-sketches and estimate are at hand, each pair in the first list that holds both. Whether a list
+sketches and estimate are at hand, each pair in the first list that holds both. Parity bitmaps
+of the whole sets bound how far two sets agree, and turn away most unlike pairs by bit counts. Whether a list
 is the first is mostly told by the few values before it, which pairs of like documents share.
 """
 
@@ -25,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stormgrid.llm.components import components, stored
-from stormgrid.llm.shingles import SET_SCHEMA, SKETCH_SCHEMA, set_batches, sketch_batches
+from stormgrid.llm.shingles import PARITY_WORDS, SET_SCHEMA, SKETCH_SCHEMA, set_batches, sketch_batches
 
 SHINGLE = 5
 PERCENT = 75
@@ -33,6 +34,8 @@ SKETCH = 64
 LEAST_OVERLAP = 28
 WIDE_SKETCH = 160
 LOOK_BACK = 3
+# Sets of more members differ in so many that their parity bitmaps say little.
+MAPPED = 1500
 # Union-sketch estimates spread by sqrt(p (1 - p) / k); so many of these spreads below the
 # threshold a pair is let go.
 SPREADS = 5.0
@@ -57,6 +60,15 @@ def _estimate_passes(a: Column, b: Column, k: int, percent: int, spreads: float)
     )
 
 
+def _may_be_similar(percent: int) -> Column:
+    """False only for unlike sets: similar ones differ in few members, and their parity bitmaps
+    in no more bits than that. Some bit counts in place of a set operation."""
+    differ = F.lit(0)
+    for i in range(PARITY_WORDS):
+        differ += F.bit_count(F.col(f"x.bits{i}").bitwiseXOR(F.col(f"y.bits{i}")))
+    return differ.cast("long") * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
+
+
 def document_sketches(docs: DataFrame, size: int = SHINGLE, k: int = SKETCH) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sketch_batches(size, k), SKETCH_SCHEMA)
 
@@ -136,7 +148,9 @@ def _cross_pairs(prefixes: DataFrame, sets: DataFrame, labels: DataFrame, percen
     """Pairs from different components that the estimate lets through, each found once.
 
     Lists within one component are dropped before the join; in the others the comparison is
-    part of the join, so that unlike pairs are never rows.
+    part of the join, so that unlike pairs are never rows. Sets that outgrow the bitmap are
+    compared by their sketches, in a join of their own: its condition is too long to be compiled
+    along with the other one.
     """
     placed = (
         _lists(prefixes)
@@ -145,35 +159,37 @@ def _cross_pairs(prefixes: DataFrame, sets: DataFrame, labels: DataFrame, percen
     )
     mixed = placed.groupBy("value").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi")
     left = placed.join(mixed.select("value"), "value", "left_semi").drop("weight")
-    held = prefixes.select("id", "prefix").join(
-        sets.select("id", F.slice("members", 1, WIDE_SKETCH).alias("wide")), "id"
-    )
-    left = left.join(held, "id")
-    a, b = left.alias("x"), left.alias("y")
     steps = range(1, LOOK_BACK + 1)
     met_before = F.lit(False)
     for i in steps:
         for j in steps:
             met_before = met_before | F.coalesce(F.col(f"x.before{i}") == F.col(f"y.before{j}"), F.lit(False))
-    first_shared = F.array_min(F.array_intersect(F.col("x.prefix"), F.col("y.prefix")))
-    return (
-        a.join(
-            b,
-            (F.col("x.value") == F.col("y.value"))
-            & (F.col("x.part") != F.col("y.part"))
-            & (F.col("x.id") < F.col("y.id"))
-            & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-            & ~met_before
-            & (F.col("x.value") == first_shared)
-            & F.when(
-                # two sketches that hold their whole sets: the figure is exact, none are let through in vain
-                (F.col("x.n") <= WIDE_SKETCH) & (F.col("y.n") <= WIDE_SKETCH),
-                _similar(F.col("x.wide"), F.col("y.wide"), percent),
-            ).otherwise(_estimate_passes(F.col("x.wide"), F.col("y.wide"), WIDE_SKETCH, percent, SPREADS)),
-        )
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        .distinct()
+    meet = (
+        (F.col("x.value") == F.col("y.value"))
+        & (F.col("x.part") != F.col("y.part"))
+        & (F.col("x.id") < F.col("y.id"))
+        & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
     )
+    found = [F.col("x.id").alias("a"), F.col("y.id").alias("b")]
+
+    words = [F.coalesce(F.get("bits", F.lit(i)), F.lit(0)).alias(f"bits{i}") for i in range(PARITY_WORDS)]
+    mapped = left.where(F.col("n") <= MAPPED).join(sets.select("id", *words), "id")
+    by_bits = mapped.alias("x").join(mapped.alias("y"), meet & _may_be_similar(percent) & ~met_before).select(*found)
+
+    held = prefixes.select("id", "prefix").join(
+        sets.select("id", F.slice("members", 1, WIDE_SKETCH).alias("wide")), "id"
+    )
+    long = left.where(F.col("n") * 100 >= MAPPED * percent).join(held, "id")
+    first_shared = F.array_min(F.array_intersect(F.col("x.prefix"), F.col("y.prefix")))
+    by_sketch = long.alias("x").join(
+        long.alias("y"),
+        meet
+        & (F.greatest("x.n", "y.n") > MAPPED)
+        & ~met_before
+        & (F.col("x.value") == first_shared)
+        & _estimate_passes(F.col("x.wide"), F.col("y.wide"), WIDE_SKETCH, percent, SPREADS),
+    ).select(*found)
+    return by_bits.unionByName(by_sketch).distinct()
 
 
 def near_duplicates(

@@ -10,6 +10,9 @@ import pyarrow as pa
 
 from stormgrid.llm.textvec import U64, mix, split_words, text_chunks, window_hashes
 
+PARITY_BITS = 1024
+PARITY_WORDS = PARITY_BITS // 64
+
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     """For each text its set, ascending as signed numbers. Texts of fewer words have their whole
@@ -65,17 +68,26 @@ def sketch_batches(size: int, k: int):
 SKETCH_SCHEMA = "doc_id long, n_shingles long, digest binary, sketch array<long>"
 
 
+def parity_bits(members: np.ndarray) -> np.ndarray:
+    """A bitmap of the set: each member flips one of 1024 bits. The bits in which two bitmaps
+    differ are never more than the members in which the sets differ."""
+    at = members.view(U64) >> U64(64 - PARITY_BITS.bit_length() + 1)
+    flipped = np.bincount(at.astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(flipped.astype(np.uint8)).view(np.int64)
+
+
 def set_batches(size: int):
-    """For mapInArrow over (doc_id, text): doc_id and the whole set."""
+    """For mapInArrow over (doc_id, text): doc_id, the whole set and its parity bitmap."""
 
     def run(batches):
         for batch in batches:
+            sets = list(shingle_sets(batch.column(1), size))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), list_array(list(shingle_sets(batch.column(1), size)))],
-                names=["doc_id", "members"],
+                [batch.column(0), list_array(sets), list_array([parity_bits(s) for s in sets])],
+                names=["doc_id", "members", "bits"],
             )
 
     return run
 
 
-SET_SCHEMA = "doc_id long, members array<long>"
+SET_SCHEMA = "doc_id long, members array<long>, bits array<long>"

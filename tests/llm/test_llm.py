@@ -22,6 +22,7 @@ from stormgrid.llm import (
     quality_rules,
     queries,
     secret_ledger,
+    shingles,
     toxicity,
     warc,
 )
@@ -260,3 +261,39 @@ def test_pipeline_stages(spark):
     mixed = corpus_pipeline.mix_sources(spark, redacted, "")
     assert mixed.columns == docs.columns and 30 <= mixed.count() <= 40
     assert set(corpus_pipeline.tokenize(spark, mixed, "").columns) == {"doc_id", "lang", "source", "n_tokens", "ids"}
+
+
+def test_parity_bitmaps_never_differ_in_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(-(2**63), 2**63 - 1, 4000)
+    for size in (0, 1, 40, 900, 3000):
+        a, b = (np.unique(rng.choice(pool, size)) for _ in range(2))
+        bits = [np.unpackbits(shingles.parity_bits(s).view(np.uint8)) for s in (a, b)]
+        assert int((bits[0] != bits[1]).sum()) <= len(np.setxor1d(a, b))
+
+
+def test_pairs_between_components_whatever_the_length(spark):
+    rng = np.random.default_rng(6)
+    texts = []
+    for words in (60, 400, 1450, 2500):  # on both sides of the bitmap's reach
+        base = [f"w{i}" for i in rng.integers(0, 10**6, words)]
+        for changes in (0, 1, words // 60, words // 25, words // 6):
+            copy = list(base)
+            for at in rng.integers(0, words, changes):
+                copy[at] = f"x{rng.integers(0, 10**9)}"
+            texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    whole = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    expected = {
+        (a, b)
+        for a in range(len(texts))
+        for b in range(a + 1, len(texts))
+        if 100 * len(whole[a] & whole[b]) >= 75 * len(whole[a] | whole[b])
+    }
+    prefixes = neardup.rare_postings(
+        neardup.classes(neardup.document_sketches(docs)), neardup.SKETCH, neardup.LEAST_OVERLAP
+    )
+    sets = docs.mapInArrow(shingles.set_batches(5), shingles.SET_SCHEMA).withColumnRenamed("doc_id", "id")
+    apart = spark.createDataFrame([], "id long, component long")
+    pairs = neardup._verified(neardup._cross_pairs(prefixes, sets, apart, 75), sets, 75)
+    assert expected and {tuple(r) for r in pairs.collect()} == expected
