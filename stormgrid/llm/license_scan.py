@@ -1,18 +1,22 @@
 """License scans by conditional compression.
 
-A candidate block is a run of lines that speaks of licenses. It is compressed alone, and with each
-template as a raw zstandard dictionary: a template that the block repeats shrinks it most. The
-templates that shrink it most are then compared with the block word by word, and one whose
-words are nearly all there, in order, and which differs in no telling word, is confirmed.
+A candidate block is a run of words, across line ends, around words that licenses use. It is
+compressed alone, and with each template as a raw zstandard dictionary: a template that the block
+repeats shrinks it most. The templates that shrink it most are compared with the block word by
+word, and each place where the words of one are nearly all there, in order, and which differs in
+no telling word, is confirmed.
 """
 
 from __future__ import annotations
 
+import bisect
+import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
-from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
@@ -36,110 +40,170 @@ TEMPLATES = {
     "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
     "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
 }
-HINT = r"(?i)licen[cs]e|redistribution and use|copyright"
-LINE_HINT = re.compile(HINT)
 WORD = re.compile(r"[\w.+-]*\w")
-RANKED = 6  # templates compared word by word, by size reduction
 LEAST_REDUCTION = 0.2
 LEAST_WORDS = 0.85  # of the template's words that the block has in order
-BLOCK_CHARS = 2000
+RANKED = 6  # templates compared word by word, by size reduction
+SIZES = (32, 512)  # words of templates that are searched in windows of one length, and longer ones
+# words in which two licenses of nearly the same wording differ; in long texts digits and "by" tell nothing
 TELLING = re.compile(r"\d|^(cc0|by|sa|nc|nd|lesser|affero|mit|apache|mozilla|gnu|by-[a-z-]+)$")
+TELLING_LONG = re.compile(r"^(lesser|affero|apache|mozilla|gnu|creative|eclipse)$")
+
+
+def words(text: str) -> list[tuple[str, int, int]]:
+    return [(m[0].lower(), m.start(), m.end()) for m in WORD.finditer(text)]
 
 
-def candidate_blocks(text: str) -> Iterator[tuple[int, int]]:
-    """Places of runs of lines with a license word. A longer line is cut to windows around each
-    such word, which overlap where words stand close, so that no part of it is left out."""
-    at, begin, end = 0, None, None
-    for line in text.split("\n"):
-        if LINE_HINT.search(line):
-            if len(line) > BLOCK_CHARS:
-                if begin is not None:
-                    yield begin, end
-                    begin = None
-                upto = 0
-                for found in LINE_HINT.finditer(line):
-                    if found.end() > upto:
-                        a, upto = max(0, found.start() - BLOCK_CHARS // 4), min(len(line), found.end() + BLOCK_CHARS // 4)
-                        yield at + a, at + upto
-            else:
-                begin, end = at if begin is None else begin, at + len(line)
-        elif begin is not None:
-            yield begin, end
-            begin = None
-        at += len(line) + 1
+def hint_words(texts: Iterable[str]) -> list[str]:
+    """Words so chosen from the texts that whatever repeats LEAST_WORDS of one holds one of them:
+    they make up more of each text than may be missing. License words first, then long ones."""
+    chosen: set[str] = set()
+    for text in texts:
+        counts = Counter(w for w, _, _ in words(text))
+        missing = math.floor((1 - LEAST_WORDS) * sum(counts.values()) + 1e-9)
+        have = sum(n for w, n in counts.items() if w in chosen)
+        for w in sorted(counts, key=lambda w: (not w.startswith("licen"), -len(w), w)):
+            if have > missing:
+                break
+            if w not in chosen:
+                chosen.add(w)
+                have += counts[w]
+    return sorted(chosen)
+
+
+def hint(texts: Iterable[str]) -> str:
+    """A pattern, for Python and Java alike, that every notice matches."""
+    return "(?iu)" + "|".join(w.replace(".", "[.]").replace("+", "[+]") for w in hint_words(texts))
+
+
+def windows(text: list[tuple[str, int, int]], hints: set[str], span: int) -> Iterator[tuple[int, int]]:
+    """Runs of words, whatever lines they stand on, such that each ``span`` words in a row with a
+    hint among them lie whole in one."""
+    begin = end = None
+    for i, (w, _, _) in enumerate(text):
+        if w in hints:
+            if begin is not None and i - span > end:
+                yield from ((a, min(a + 2 * span, end)) for a in range(begin, max(end - span, begin + 1), span))
+                begin = None
+            begin, end = max(0, i - span) if begin is None else begin, min(len(text), i + span + 1)
     if begin is not None:
-        yield begin, end
+        yield from ((a, min(a + 2 * span, end)) for a in range(begin, max(end - span, begin + 1), span))
+
+
+def places(have: np.ndarray, want: np.ndarray, most: int) -> list[tuple[int, int, int]]:
+    """(words lost and added, first, last) of the runs of ``have`` nearest to ``want``, for each
+    first word the nearest of at most ``most`` differences."""
+    at = np.arange(len(have) + 1)
+    cost, start = np.zeros(len(at), np.int64), at
+    for word in want:
+        down = cost + 1  # the word is lost
+        same = np.r_[False, have == word]
+        come = np.r_[down[:1], cost[:-1]]
+        take = same & (come < down)
+        cost, start = np.where(take, come, down), np.where(take, np.r_[start[:1], start[:-1]], start)
+        ahead = cost - at  # further words are added
+        low = np.minimum.accumulate(ahead)
+        source = np.maximum.accumulate(np.where(ahead == low, at, 0))
+        cost, start = low + at, start[source]
+    best: dict[int, tuple[int, int]] = {}
+    for end in np.flatnonzero(cost <= most).tolist():
+        found = int(cost[end]), end
+        best[int(start[end])] = min(best.get(int(start[end]), found), found)
+    return sorted((d, a, b) for a, (d, b) in best.items() if b > a)
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str]):
-        self.templates = templates
-        self.words = {name: words(t) for name, t in templates.items()}
+    def __init__(self, templates: Iterable[tuple[str, str]]):
+        self.templates = [(name, t) for name, t in templates if words(t)]
+        self.hints = set(hint_words(t for _, t in self.templates))
+        self.words = [[w for w, _, _ in words(t)] for _, t in self.templates]
+        numbers: dict[str, int] = {}
+        self.numbers = numbers
+        self.coded = [np.array([numbers.setdefault(w, len(numbers)) for w in ws]) for ws in self.words]
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False, write_dict_id=False)
-        self.given = {
-            name: zstandard.ZstdCompressor(
-                level=3,
-                write_content_size=False,
-                write_dict_id=False,
-                dict_data=zstandard.ZstdCompressionDict(
-                    t.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT
-                ),
+        self.given, self.gain = [], []
+        for _, t in self.templates:
+            data = t.lower().encode()
+            dictionary = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            dictionary.precompute_compress(level=3)
+            self.given.append(
+                zstandard.ZstdCompressor(level=3, write_content_size=False, write_dict_id=False, dict_data=dictionary)
             )
-            for name, t in templates.items()
-        }
+            self.gain.append(max(len(self.plain.compress(data)) - len(self.given[-1].compress(data)), 1))
+        bounds = [0, *SIZES, math.inf]
+        self.classes = [
+            some for a, b in zip(bounds, bounds[1:]) if (some := [i for i, w in enumerate(self.words) if a < len(w) <= b])
+        ]
 
-    def reductions(self, block: str) -> list[tuple[float, str]]:
+    def reductions(self, block: str, among: list[int]) -> list[tuple[float, int]]:
         """Share of a template's own gain that the block has with it as dictionary, best first."""
-        data = block.lower().encode()
+        data = block.lower().encode("utf-8", "replace")
         alone = len(self.plain.compress(data))
-        out = []
-        for name, t in self.templates.items():
-            most = len(self.plain.compress(t.lower().encode())) - self.own_size(name)
-            out.append(((alone - len(self.given[name].compress(data))) / max(most, 1), name))
+        out = [((alone - len(self.given[i].compress(data))) / self.gain[i], i) for i in among]
         return sorted(out, key=lambda r: (-r[0], r[1]))
 
-    @lru_cache(maxsize=None)  # noqa: B019
-    def own_size(self, name: str) -> int:
-        return len(self.given[name].compress(self.templates[name].lower().encode()))
-
-    def compare(self, block: list[tuple[str, int, int]], name: str):
-        """(words in common, words that differ, start, end) of the closest wording, or None."""
-        want, have = [w for w, _, _ in self.words[name]], [w for w, _, _ in block]
-        parts = [m for m in SequenceMatcher(None, have, want, autojunk=False).get_matching_blocks() if m.size]
-        if not parts:
-            return None
-        same = sum(m.size for m in parts)
-        first, last = parts[0].a, parts[-1].a + parts[-1].size
-        inside = {i for m in parts for i in range(m.a, m.a + m.size)}
-        matched = {j for m in parts for j in range(m.b, m.b + m.size)}
-        lost = [w for j, w in enumerate(want) if j not in matched]
-        added = [have[i] for i in range(first, last) if i not in inside]
-        return same, lost, added, block[first][1], block[last - 1][2]
+    def holds(self, coded: np.ndarray, i: int) -> bool:
+        """Whether a block has enough of a template's words in any order. What else stands in a
+        block may hide the gain of a short notice, so such a template is compared whatever it gains."""
+        there = np.bincount(coded[coded >= 0], minlength=len(self.numbers))
+        asked = np.bincount(self.coded[i], minlength=len(self.numbers))
+        return np.minimum(there, asked).sum() >= LEAST_WORDS * len(self.coded[i])
+
+    def compare(self, block: list[str], coded: np.ndarray, i: int) -> Iterator[tuple[int, int, int, int]]:
+        """(words in common, words that differ, first, last) of the places that repeat a template."""
+        want = self.words[i]
+        for differ, a, b in places(coded, self.coded[i], len(want)):
+            same = (len(want) + b - a - differ) // 2
+            added = b - a - same
+            if same < LEAST_WORDS * len(want) or added > same // 2:
+                continue
+            if not differ or not self.tells(block[a:b], want):
+                yield same, differ, a, b
+
+    @staticmethod
+    def tells(have: list[str], want: list[str]) -> bool:
+        """Whether the words in which the two differ make another license of one."""
+        if len(want) > SIZES[0]:
+            there, asked = Counter(have), Counter(want)
+            return any(map(TELLING_LONG.search, [*(there - asked), *(asked - there)]))
+        for kind, a, b, c, d in SequenceMatcher(None, have, want, autojunk=False).get_opcodes():
+            if kind != "equal" and any(map(TELLING.search, [*have[a:b], *want[c:d]])):
+                return True
+        return False
+
+    def search(self, text: str, all_words: list, coded: np.ndarray, begin: int, end: int, among: list[int]) -> Iterator[tuple]:
+        """Notices among the words from begin to end."""
+        block, best = [w for w, _, _ in all_words[begin:end]], []
+        for gain, i in self.reductions(text[all_words[begin][1] : all_words[end - 1][2]], among)[:RANKED]:
+            if gain < LEAST_REDUCTION and not self.holds(coded[begin:end], i):
+                continue
+            for same, differ, a, b in self.compare(block, coded[begin:end], i):
+                best.append((2 * differ - same, self.templates[i][0], begin + a, begin + b, round(gain, 4), differ))
+        yield from apart(best)
 
     def scan(self, text: str) -> Iterator[tuple]:
         """(license, start, end, reduction, differing words) of every confirmed notice."""
-        for begin, end in candidate_blocks(text):
-            block = words(text[begin:end])
-            best = []
-            for gain, name in self.reductions(text[begin:end])[:RANKED]:
-                if gain < LEAST_REDUCTION:
-                    break
-                got = self.compare(block, name)
-                if got is None:
-                    continue
-                same, lost, added, a, b = got
-                whole = same >= LEAST_WORDS * len(self.words[name])
-                if whole and len(added) <= same // 2 and not any(map(TELLING.search, [*lost, *added])):
-                    best.append((len(lost) + len(added), -same, name, a, b, gain))
-            taken: list[tuple[int, int]] = []
-            for differ, _, name, a, b, gain in sorted(best):
-                if all(b <= x or a >= y for x, y in taken):  # one license for each wording
-                    taken.append((a, b))
-                    yield name, begin + a, begin + b, round(gain, 4), differ
-
-
-def words(text: str) -> list[tuple[str, int, int]]:
-    return [(m[0].lower(), m.start(), m.end()) for m in WORD.finditer(text)]
+        found, all_words = [], words(text)
+        coded = np.array([self.numbers.get(w, -1) for w, _, _ in all_words], np.int64)
+        for among in self.classes:
+            span = max(len(self.words[i]) for i in among) * 3 // 2 + 1
+            for begin, end in windows(all_words, self.hints, span):
+                found += self.search(text, all_words, coded, begin, end, among)
+        for _, name, a, b, gain, differ in sorted(apart(found), key=lambda f: f[2]):
+            yield name, all_words[a][1], all_words[b - 1][2], gain, differ
+
+
+def apart(found: list[tuple]) -> list[tuple]:
+    """Best first, those that share no word with a better one: one license for each wording."""
+    ends: list[tuple[int, int]] = []
+    out = []
+    for f in sorted(set(found)):
+        a, b = f[2:4]
+        k = bisect.bisect_left(ends, (a, b))
+        if (k == 0 or ends[k - 1][1] <= a) and (k == len(ends) or ends[k][0] >= b):
+            ends.insert(k, (a, b))
+            out.append(f)
+    return out
 
 
 SCHEMA = "doc_id long, license string, start long, end long, reduction double, n_differences long"
@@ -153,7 +217,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     no rows, repeated rows each have their own. Of templates that fit the same words, the one
     with the fewest differences is named.
     """
-    templates = dict(TEMPLATES if templates is None else templates)
+    templates = list((TEMPLATES if templates is None else templates).items())
 
     def run(batches):
         scanner = Scanner(templates)
@@ -170,4 +234,4 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
                 names=["doc_id", "license", "start", "end", "reduction", "n_differences"],
             )
 
-    return docs.where(F.col("text").rlike(HINT)).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)
+    return docs.where(F.col("text").rlike(hint(t for _, t in templates))).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SCHEMA)

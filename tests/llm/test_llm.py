@@ -297,3 +297,22 @@ def test_pairs_between_components_whatever_the_length(spark):
     apart = spark.createDataFrame([], "id long, component long")
     pairs = neardup._verified(neardup._cross_pairs(prefixes, sets, apart, 75), sets, 75)
     assert expected and {tuple(r) for r in pairs.collect()} == expected
+
+
+def found_licenses(text):
+    scanner = license_scan.Scanner(license_scan.TEMPLATES.items())
+    assert not text or re.search(license_scan.hint(license_scan.TEMPLATES.values()), text)
+    return [(name, text[a:b]) for name, a, b, _, _ in scanner.scan(text)]
+
+
+def test_licenses_across_lines_and_far_hints():
+    bsd = license_scan.TEMPLATES["BSD-3-Clause"].replace("without ", "without\n * ").replace("that ", "that\n * ")
+    assert found_licenses(f"some words\n * {bsd}\nmore words") == [("BSD-3-Clause", bsd.rstrip("."))]
+    for text, name in [
+        ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0", "MPL-2.0"),
+        ("Licensed under the Apache License,\nVersion 2.0", "Apache-2.0"),
+    ]:
+        assert found_licenses(f"# a\n# {text}.\n# b") == [(name, text)]
+    gpl = license_scan.TEMPLATES["GPL-3.0"].rstrip(".")
+    for gap in range(300, 700, 7):  # a hint before the notice, on one long line
+        assert found_licenses("word " * 400 + "license " + "x " * (gap // 2) + gpl + " word" * 400) == [("GPL-3.0", gpl)]
