@@ -2,9 +2,9 @@
 
 A candidate block is a run of words, across line ends, around words that licenses use. It is
 compressed alone, and with each template as a raw zstandard dictionary: a template that the block
-repeats shrinks it most. The templates that shrink it most are compared with the block word by
+repeats shrinks it most. Templates that shrink it enough, or whose words it has, are compared with the block word by
 word, and each place where the words of one are nearly all there, in order, and which differs in
-no telling word, is confirmed.
+no telling word, is confirmed. The rest of the block is then ranked and compared again.
 """
 
 from __future__ import annotations
@@ -43,7 +43,6 @@ TEMPLATES = {
 WORD = re.compile(r"[\w.+-]*\w")
 LEAST_REDUCTION = 0.2
 LEAST_WORDS = 0.85  # of the template's words that the block has in order
-RANKED = 6  # templates compared word by word, by size reduction
 SIZES = (32, 512)  # words of templates that are searched in windows of one length, and longer ones
 # words in which two licenses of nearly the same wording differ; in long texts digits and "by" tell nothing
 TELLING = re.compile(r"\d|^(cc0|by|sa|nc|nd|lesser|affero|mit|apache|mozilla|gnu|by-[a-z-]+)$")
@@ -172,14 +171,24 @@ class Scanner:
         return False
 
     def search(self, text: str, all_words: list, coded: np.ndarray, begin: int, end: int, among: list[int]) -> Iterator[tuple]:
-        """Notices among the words from begin to end."""
-        block, best = [w for w, _, _ in all_words[begin:end]], []
-        for gain, i in self.reductions(text[all_words[begin][1] : all_words[end - 1][2]], among)[:RANKED]:
-            if gain < LEAST_REDUCTION and not self.holds(coded[begin:end], i):
+        """Notices among the words from begin to end. What lies between those found is ranked and
+        compared again, until no template reaches the least reduction."""
+        todo = [(begin, end)]
+        while todo:
+            lo, hi = todo.pop()
+            if lo >= hi:
                 continue
-            for same, differ, a, b in self.compare(block, coded[begin:end], i):
-                best.append((2 * differ - same, self.templates[i][0], begin + a, begin + b, round(gain, 4), differ))
-        yield from apart(best)
+            block, best = [w for w, _, _ in all_words[lo:hi]], []
+            for gain, i in self.reductions(text[all_words[lo][1] : all_words[hi - 1][2]], among):
+                if gain < LEAST_REDUCTION and not self.holds(coded[lo:hi], i):
+                    continue
+                for same, differ, a, b in self.compare(block, coded[lo:hi], i):
+                    best.append((2 * differ - same, self.templates[i][0], lo + a, lo + b, round(gain, 4), differ))
+            found = apart(best)
+            yield from found
+            if found:
+                edges = [lo, *[x for f in sorted(found, key=lambda f: f[2]) for x in f[2:4]], hi]
+                todo += zip(edges[::2], edges[1::2])
 
     def scan(self, text: str) -> Iterator[tuple]:
         """(license, start, end, reduction, differing words) of every confirmed notice."""

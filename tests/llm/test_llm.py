@@ -316,3 +316,10 @@ def test_licenses_across_lines_and_far_hints():
     gpl = license_scan.TEMPLATES["GPL-3.0"].rstrip(".")
     for gap in range(300, 700, 7):  # a hint before the notice, on one long line
         assert found_licenses("word " * 400 + "license " + "x " * (gap // 2) + gpl + " word" * 400) == [("GPL-3.0", gpl)]
+
+
+def test_licenses_all_of_a_list():
+    every = [(n, t.rstrip(".")) for n, t in license_scan.TEMPLATES.items()]
+    for lines in (every, every[::-1], every * 3, every[:1] * 40):
+        assert found_licenses("\n".join(t for _, t in lines)) == lines
+        assert found_licenses(" and ".join(t for _, t in lines)) == lines
