@@ -1,10 +1,10 @@
 """License scans by conditional compression.
 
-A candidate block is a run of words, across line ends, around words that licenses use. It is
-compressed alone, and with each template as a raw zstandard dictionary: a template that the block
-repeats shrinks it most. Templates that shrink it enough, or whose words it has, are compared with the block word by
-word, and each place where the words of one are nearly all there, in order, and which differs in
-no telling word, is confirmed. The rest of the block is then ranked and compared again.
+A candidate block is a run of words, across line ends, around words that licenses use. Templates of
+which it has too few words are let go. For the others it is compressed alone and with the template
+as a raw zstandard dictionary; one that the block repeats shrinks it most. In that order they are
+compared with the block word by word, and each place where the words of one are nearly all there, in
+order, and which differs in no telling word, is confirmed. The rest is then searched again.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from stormgrid.llm.license_wordings import WORDINGS, full_texts
+
 # FIXED VALUES: short notices of public licenses.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -41,38 +43,62 @@ TEMPLATES = {
     "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
 }
 WORD = re.compile(r"[\w.+-]*\w")
-LEAST_REDUCTION = 0.2
 LEAST_WORDS = 0.85  # of the template's words that the block has in order
+LONG_HINTS = 0.02  # of the words of a text of more than SIZES[0] words
 SIZES = (32, 512)  # words of templates that are searched in windows of one length, and longer ones
 # words in which two licenses of nearly the same wording differ; in long texts digits and "by" tell nothing
 TELLING = re.compile(r"\d|^(cc0|by|sa|nc|nd|lesser|affero|mit|apache|mozilla|gnu|by-[a-z-]+)$")
 TELLING_LONG = re.compile(r"^(lesser|affero|apache|mozilla|gnu|creative|eclipse)$")
 
 
+# the name of a license, or several, in a tag that says so
+SPDX = re.compile(r"(?i)spdx-license-identifier:[ \t]*((?:[ \t]*(?:[()]|[\w.+-]*[\w.+]))+)")
+SPDX_SUFFIX = re.compile(r"(?i)(-only|-or-later|\+)$")
+SPDX_WORDS = {"and", "or", "with"}
+
+
+def wordings() -> list[tuple[str, str]]:
+    """(license, wording) of all templates: short notices, headers, grants and full texts."""
+    return [*TEMPLATES.items(), *WORDINGS, *full_texts()]
+
+
 def words(text: str) -> list[tuple[str, int, int]]:
     return [(m[0].lower(), m.start(), m.end()) for m in WORD.finditer(text)]
 
 
-def hint_words(texts: Iterable[str]) -> list[str]:
-    """Words so chosen from the texts that whatever repeats LEAST_WORDS of one holds one of them:
-    they make up more of each text than may be missing. License words first, then long ones."""
+def hint_words(texts: Iterable[str]) -> set[str]:
+    """Words so chosen from the texts that they make up more of a short one than may be missing:
+    whatever repeats LEAST_WORDS of it holds one. Of a longer text they are LONG_HINTS of its
+    words at least. License words come first, then frequent and long ones."""
     chosen: set[str] = set()
     for text in texts:
         counts = Counter(w for w, _, _ in words(text))
-        missing = math.floor((1 - LEAST_WORDS) * sum(counts.values()) + 1e-9)
+        total = sum(counts.values())
+        missing = math.floor((1 - LEAST_WORDS if total <= SIZES[0] else LONG_HINTS) * total + 1e-9)
         have = sum(n for w, n in counts.items() if w in chosen)
-        for w in sorted(counts, key=lambda w: (not w.startswith("licen"), -len(w), w)):
+        for w in sorted(counts, key=lambda w: (not w.startswith("licen"), -counts[w] * (len(w) > 7), -len(w), w)):
             if have > missing:
                 break
             if w not in chosen:
                 chosen.add(w)
                 have += counts[w]
-    return sorted(chosen)
+    return chosen
+
+
+def branches(some: Iterable[str]) -> str:
+    """A pattern of words that shares their beginnings."""
+    by_first: dict[str, list[str]] = {}
+    for w in some:
+        by_first.setdefault(w[:1], []).append(w[1:])
+    if "" in by_first:
+        return ""  # the rest makes no difference
+    parts = [(c if c.isalnum() or c in "_-" else f"[{c}]") + branches(rest) for c, rest in sorted(by_first.items())]
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
 
 
 def hint(texts: Iterable[str]) -> str:
     """A pattern, for Python and Java alike, that every notice matches."""
-    return "(?iu)" + "|".join(w.replace(".", "[.]").replace("+", "[+]") for w in hint_words(texts))
+    return r"(?iu)\b" + branches({*hint_words(texts), "spdx-license-identifier"})
 
 
 def windows(text: list[tuple[str, int, int]], hints: set[str], span: int) -> Iterator[tuple[int, int]]:
@@ -114,11 +140,11 @@ def places(have: np.ndarray, want: np.ndarray, most: int) -> list[tuple[int, int
 class Scanner:
     def __init__(self, templates: Iterable[tuple[str, str]]):
         self.templates = [(name, t) for name, t in templates if words(t)]
-        self.hints = set(hint_words(t for _, t in self.templates))
         self.words = [[w for w, _, _ in words(t)] for _, t in self.templates]
         numbers: dict[str, int] = {}
         self.numbers = numbers
         self.coded = [np.array([numbers.setdefault(w, len(numbers)) for w in ws]) for ws in self.words]
+        self.distinct, self.counts = zip(*[np.unique(c, return_counts=True) for c in self.coded])
         self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False, write_dict_id=False)
         self.given, self.gain = [], []
         for _, t in self.templates:
@@ -133,6 +159,7 @@ class Scanner:
         self.classes = [
             some for a, b in zip(bounds, bounds[1:]) if (some := [i for i, w in enumerate(self.words) if a < len(w) <= b])
         ]
+        self.hints = [hint_words(self.templates[i][1] for i in among) for among in self.classes]
 
     def reductions(self, block: str, among: list[int]) -> list[tuple[float, int]]:
         """Share of a template's own gain that the block has with it as dictionary, best first."""
@@ -141,12 +168,10 @@ class Scanner:
         out = [((alone - len(self.given[i].compress(data))) / self.gain[i], i) for i in among]
         return sorted(out, key=lambda r: (-r[0], r[1]))
 
-    def holds(self, coded: np.ndarray, i: int) -> bool:
-        """Whether a block has enough of a template's words in any order. What else stands in a
-        block may hide the gain of a short notice, so such a template is compared whatever it gains."""
+    def held(self, coded: np.ndarray, among: list[int]) -> list[int]:
+        """The templates of which a block has enough words in any order; others cannot be confirmed."""
         there = np.bincount(coded[coded >= 0], minlength=len(self.numbers))
-        asked = np.bincount(self.coded[i], minlength=len(self.numbers))
-        return np.minimum(there, asked).sum() >= LEAST_WORDS * len(self.coded[i])
+        return [i for i in among if np.minimum(there[self.distinct[i]], self.counts[i]).sum() >= LEAST_WORDS * len(self.coded[i])]
 
     def compare(self, block: list[str], coded: np.ndarray, i: int) -> Iterator[tuple[int, int, int, int]]:
         """(words in common, words that differ, first, last) of the places that repeat a template."""
@@ -172,16 +197,17 @@ class Scanner:
 
     def search(self, text: str, all_words: list, coded: np.ndarray, begin: int, end: int, among: list[int]) -> Iterator[tuple]:
         """Notices among the words from begin to end. What lies between those found is ranked and
-        compared again, until no template reaches the least reduction."""
+        compared again, until no more is confirmed."""
         todo = [(begin, end)]
         while todo:
             lo, hi = todo.pop()
             if lo >= hi:
                 continue
             block, best = [w for w, _, _ in all_words[lo:hi]], []
-            for gain, i in self.reductions(text[all_words[lo][1] : all_words[hi - 1][2]], among):
-                if gain < LEAST_REDUCTION and not self.holds(coded[lo:hi], i):
-                    continue
+            some = self.held(coded[lo:hi], among)
+            if not some:
+                continue
+            for gain, i in self.reductions(text[all_words[lo][1] : all_words[hi - 1][2]], some):
                 for same, differ, a, b in self.compare(block, coded[lo:hi], i):
                     best.append((2 * differ - same, self.templates[i][0], lo + a, lo + b, round(gain, 4), differ))
             found = apart(best)
@@ -194,12 +220,24 @@ class Scanner:
         """(license, start, end, reduction, differing words) of every confirmed notice."""
         found, all_words = [], words(text)
         coded = np.array([self.numbers.get(w, -1) for w, _, _ in all_words], np.int64)
-        for among in self.classes:
+        for among, hints in zip(self.classes, self.hints):
             span = max(len(self.words[i]) for i in among) * 3 // 2 + 1
-            for begin, end in windows(all_words, self.hints, span):
+            for begin, end in windows(all_words, hints, span):
                 found += self.search(text, all_words, coded, begin, end, among)
         for _, name, a, b, gain, differ in sorted(apart(found), key=lambda f: f[2]):
             yield name, all_words[a][1], all_words[b - 1][2], gain, differ
+        yield from tagged(text, {name.lower(): name for name, _ in self.templates})
+
+
+def tagged(text: str, known: dict[str, str]) -> Iterator[tuple]:
+    """Licenses that SPDX tags name; a name is a whole wording, so it stands for the whole gain."""
+    for tag in SPDX.finditer(text):
+        exception = False
+        for m in WORD.finditer(text, *tag.span(1)):
+            word = m[0].lower()
+            if word not in SPDX_WORDS and not exception:
+                yield known.get(SPDX_SUFFIX.sub("", word), SPDX_SUFFIX.sub("", m[0])), m.start(), m.end(), 1.0, 0
+            exception = word == "with"
 
 
 def apart(found: list[tuple]) -> list[tuple]:
@@ -226,7 +264,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     no rows, repeated rows each have their own. Of templates that fit the same words, the one
     with the fewest differences is named.
     """
-    templates = list((TEMPLATES if templates is None else templates).items())
+    templates = wordings() if templates is None else list(templates.items())
 
     def run(batches):
         scanner = Scanner(templates)

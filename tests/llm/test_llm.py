@@ -323,3 +323,19 @@ def test_licenses_all_of_a_list():
     for lines in (every, every[::-1], every * 3, every[:1] * 40):
         assert found_licenses("\n".join(t for _, t in lines)) == lines
         assert found_licenses(" and ".join(t for _, t in lines)) == lines
+
+
+def test_licenses_usual_wordings(spark):
+    every = license_scan.wordings()
+    scanner, pattern = license_scan.Scanner(every), license_scan.hint(t for _, t in every)
+    find = lambda text: [(f[0], f[4]) for f in scanner.scan(text)]
+    assert {"MIT", "GPL-3.0", "BSD-2-Clause", "ISC", "Unlicense", "LGPL-2.1", "EPL-2.0"} <= {n for n, _ in every}
+    for name, text in every:
+        wrapped = re.sub(r"((?:\S+\s+){9})", r"\1\n# ", text)
+        assert re.search(pattern, wrapped) and find(f"any words\n# {wrapped}\nother words") == [(name, 0)]
+    header = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General"
+    header += " Public License as published by the Free Software Foundation; either version 3, or any later version."
+    assert [n for n, _ in find(header)] == ["GPL-3.0"]
+    tags = "// SPDX-License-Identifier: (MIT OR Apache-2.0)\n# SPDX-License-Identifier: GPL-2.0+ WITH Classpath-exception-2.0\nx"
+    got = [(r["license"], tags[r["start"] : r["end"]]) for r in license_scan.scan(documents(spark, [(1, tags)])).collect()]
+    assert got == [("MIT", "MIT"), ("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2.0")]
