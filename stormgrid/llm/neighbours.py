@@ -120,7 +120,9 @@ def search_block(ids, vectors, query_ids, queries, k: int, confidence: float, se
             places = places[ids[places] != query]
             d = np.r_[found_d, distances(vectors[places], q)]
             i = np.r_[found_i, ids[places]]
-            order = np.lexsort((i, d))[:k]
+            order = np.lexsort((i, d))
+            # rows that repeat an id are one candidate, at the smallest distance
+            order = order[np.sort(np.unique(i[order], return_index=True)[1])][:k]
             found_d, found_i = d[order], i[order]
             # all not handed out yet project at least as far as the last that was
             if len(found_d) == k and squares.max() > ratio * found_d[-1] ** 2:

@@ -244,6 +244,19 @@ def test_neighbours(spark):
     assert neighbours.search_table(table.where("vec_id < 0")).isEmpty()
 
 
+def test_neighbours_of_repeated_ids(spark):
+    v = np.random.default_rng(5).normal(size=(300, 24)).astype(np.float32)
+    near = [(i, x.tolist()) for i, x in enumerate(v)]
+    one = min(range(1, 300), key=lambda i: float(((v[i] - v[0]) ** 2).sum()))
+    far = [(one, (v[one] + 1).tolist())]
+    schema = "vec_id long, embedding array<float>"
+    once = spark.createDataFrame(near, schema)
+    asked = once.where("vec_id = 0")
+    want = neighbours.nearest(once, asked).collect()
+    many = spark.createDataFrame(near * 2 + [near[one]] * 80 + far * 3, schema)
+    assert len(want) == 10 and neighbours.nearest(many, asked).collect() == want
+
+
 def test_licenses(spark):
     notice = license_scan.TEMPLATES["GPL-3.0"]
     rows = [*EDGE, (9, f"x\n{notice}\ny"), (10, notice.replace("3", "2")), (11, "a license to read"), (12, "z " * 2000 + notice)]
