@@ -210,6 +210,24 @@ def test_learnt_scores(spark):
     assert quality_rules.judge(documents(spark, []), None).isEmpty()
 
 
+def test_anomalies_of_every_statistic(spark):
+    rng = np.random.default_rng(6)
+    plain = ["".join(rng.choice(list("abcdefgh"), n)) for n in rng.integers(3, 9, 300)]
+    text = lambda n: "".join(w + rng.choice([" ", "\n"], p=[0.9, 0.1]) for w in rng.choice(plain, n))
+    rows = [(i, text(rng.integers(80, 300))) for i in range(400)]
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    lines = "".join(text(12).replace("\n", " ") + "\nsame\n" for _ in range(300))
+    odd = [lines, " ".join("abcdefgh"[i % 8] + "ab"[i // 8 % 2] for i in rng.integers(0, 16, 100))]
+    odd += [" ".join("".join(rng.choice(list("abcdefgh"), 20)) for _ in range(100))]
+    odd += [" ".join(w + ("|" if i % 4 == 0 else "") for i, w in enumerate(text(200).split()))]
+    odd += [text(200).upper(), text(200).replace(" ", "! ")]
+    judged = documents(spark, [*rows, *[(1000 + i, t) for i, t in enumerate(odd)]])
+    forest = quality_rules.fit(documents(spark, rows), labels)
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality_rules.judge(judged, forest).collect()}
+    assert [got[1000 + i] for i in range(len(odd))] == [(False, False)] * len(odd)
+    assert np.mean([got[i][1] for i, _ in rows]) > 0.98
+
+
 def test_rule_statistics():
     rng = np.random.default_rng(3)
     texts = ["", " \n ", "a b\na b\n\nx#|y", "one " * 20]
