@@ -3,7 +3,8 @@
 A character language model (trigrams over 26 letters, other letters and a word bound) is counted
 over all documents. Text that may be disguised is a lattice: a digit or symbol may stand for
 letters that look like it or for itself, a letter repeated three times and more for one or two,
-and single letters set apart for one word. The best path under channel costs and language model
+and single letters set apart for one word. Symbols that may as well be punctuation and doubled letters
+give a second reading, which counts besides the text as it stands. The best path under channel costs and language model
 (Viterbi, a state being the last two characters) is the restored text; where a text offers no
 choice the lattice has one path, and nothing is computed.
 
@@ -52,9 +53,21 @@ STAND_IN, LITERAL, COLLAPSE, JOIN, APART = 1.0, 8.0, 0.7, 0.2, 4.0  # channel co
 DISGUISED = re.compile(
     r"[^\W\d_][0-9@$€]|[0-9@$€][^\W\d_]|[^\W\d_][!|+(]+[^\W\d_]|([^\W\d_])\1\1", re.IGNORECASE
 )
-# three and more single letters (or stand-ins) with the same kind of gap between them
-SPACED = re.compile(r"(?<![^\s])[^\W_](?:([ .\-_*])[^\W_])(?:\1[^\W_])+(?![^\s.,;:!?])")
+# symbols at a word's edge, where they may be punctuation; three letters doubled, as common words have too
+DOUBTFUL = re.compile(
+    r"[!|+(][^\W\d_]|[^\W\d_][!|+(]|([^\W\d_])\1\w*?([^\W\d_])\2\w*?([^\W\d_])\3", re.IGNORECASE
+)
+# three and more single letters or stand-ins, set apart by blanks or by the same sign
+SINGLE = r"(?:[^\W_]|[@$€!|+(])"
+SPACED = re.compile(
+    rf"(?<![\w@$€!|+]){SINGLE}(?:(?:[^\S\n]+{SINGLE}){{2,}}|([.\-_*]){SINGLE}(?:\1{SINGLE})+)(?![^\W_]|[@$€])"
+)
+GAP = re.compile(r"[\s.\-_*]+")
 TOKEN = re.compile(r"[\w@$€!|+(]+")
+EDGES = re.compile(r"^[!|+(]+|[!|+(]+$")
+RUN = re.compile(r"(.)\1+")
+LONGEST = 64  # characters, runs counted as two: a longer token is a key or an address, not a word in disguise
+DOUBLED = 3  # doubled characters from which a token may be doubled throughout
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -119,20 +132,22 @@ class Decoder:
             return ord(c) - 96
         return OTHER_LETTER if c.isalpha() else 0
 
-    def lattice(self, token: str, spaced: str = "") -> list[list[tuple[str, float]]]:
+    def lattice(self, token: str, spaced: bool = False, doubled: bool = False) -> list[list[tuple[str, float]]]:
         """Choices of output with their cost, one list for each run of equal characters."""
         steps, i, token = [], 0, token.lower()
         while i < len(token):
             c, j = token[i], i + 1
-            if c == spaced:
-                steps.append([("", JOIN), (c, APART)])
-                i = j
+            if spaced and (gap := GAP.match(token, i)):
+                steps.append([("", JOIN), (gap[0], APART)])
+                i = gap.end()
                 continue
             while j < len(token) and token[j] == c:
                 j += 1
             run = j - i
             if c.isalpha():
                 choices = [(c * run, 0.0)] if run < 3 else [(c, COLLAPSE), (c * 2, COLLAPSE)]
+                if doubled:
+                    choices = [(c, 0.0)]
             elif c in LOOKS_LIKE:
                 choices = [(c * run, LITERAL * run)]
                 for letter in LOOKS_LIKE[c]:
@@ -162,23 +177,53 @@ class Decoder:
             paths = dict(sorted(after.items(), key=lambda p: p[1])[:BEAM]) if len(after) > BEAM else after
         return min(paths.values())[1][:-1]
 
-    def _token(self, token: str) -> str:
-        return self.best_path(self.lattice(token))
-
-    def _spaced(self, found: re.Match) -> str:
-        gap = found[1]
-        letters = found[0].replace(gap, "")
-        if len(set(letters)) < 3:
-            return found[0]  # a a a a: repeated words, not one that is spelt out
-        return self.best_path(self.lattice(found[0], gap))
+    def _token(self, token: str) -> tuple[str, str]:
+        """(restored, other readings). Symbols at the edges stay in the restored text."""
+        core, others = EDGES.sub("", token), []
+        if core != token and WORD.search(core):
+            others.append(self.best_path(self.lattice(token)))
+        if len(RUN.findall(token)) >= DOUBLED:
+            others.append(self.best_path(self.lattice(core, doubled=True)))
+        if not DISGUISED.search(core):
+            return token, " ".join(others)
+        at = token.index(core)
+        return token[:at] + self.best_path(self.lattice(core)) + token[at + len(core) :], " ".join(others)
+
+    def both(self, text: str) -> tuple[str, str]:
+        """The text with its disguised tokens restored in lower case, other text as it is; and
+        further readings of what may be disguised or not."""
+        others: list[str] = []
+
+        def spaced(found: re.Match) -> str:
+            kinds = set(GAP.sub("", found[0]))
+            if len(kinds) < 2:
+                return found[0]  # a a a a: repeated words, not one that is spelt out
+            read = self.best_path(self.lattice(found[0], spaced=True))
+            if len(kinds) > 2 and any(map(str.isalpha, kinds)):
+                return read
+            others.append(GAP.sub("", read))
+            return found[0]
+
+        def token(found: re.Match) -> str:
+            t = found[0]
+            if not (DISGUISED.search(t) or DOUBTFUL.search(t)) or len(t) > LONGEST and len(RUN.sub(r"\1\1", t)) > LONGEST:
+                return t
+            restored, other = self.token(t)
+            if other:
+                others.append(other)
+            return restored
+
+        text = SPACED.sub(spaced, text)
+        if DISGUISED.search(text) or DOUBTFUL.search(text):
+            text = TOKEN.sub(token, text)
+        return text, " ".join(others)
 
     def restore(self, text: str) -> str:
-        """The text with its disguised tokens restored in lower case; other text as it is."""
-        text = SPACED.sub(self._spaced, text)
-        if not DISGUISED.search(text):
-            return text
-        # a token of more than 64 characters is a key or an address, not a word in disguise
-        return TOKEN.sub(lambda m: self.token(m[0]) if len(m[0]) <= 64 and DISGUISED.search(m[0]) else m[0], text)
+        return self.both(text)[0]
+
+    def readings(self, text: str) -> str:
+        """The restored text and, on a line after it, the other readings."""
+        return "\n".join(self.both(text))
 
 
 def signs(text: str) -> set[str]:
@@ -268,7 +313,7 @@ def _feature_counts(texts: DataFrame, logp: np.ndarray) -> DataFrame:
         decoder, counts = Decoder(logp), (Counter(), Counter())
         for batch in batches:
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = {f for w in signs(decoder.restore(text or "")) if len(w) < 40 for f in features(w)}
+                found = {f for w in signs(decoder.readings(text or "")) if len(w) < 40 for f in features(w)}
                 counts[y].update(found)
                 counts[y][""] += 1  # documents
         names = list(counts[0] | counts[1])
@@ -327,7 +372,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED_PER_CLASS)
         scorer = Scorer(model)
         for batch in batches:
             ys = batch.column(0).to_pylist()
-            found = [scorer.evidence(scorer.decoder.restore(t or ""), y) for y, t in zip(ys, batch.column(1).to_pylist())]
+            found = [scorer.evidence(scorer.decoder.readings(t or ""), y) for y, t in zip(ys, batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(ys, pa.int32()), pa.array(found, pa.list_(pa.float64()))], names=["y", "e"])
 
     seen = texts.mapInArrow(judged, "y int, e array<double>").toPandas()  # at most 2 * per_class rows
@@ -348,10 +393,11 @@ def _with_scores(rows: DataFrame, model: Model, restored: bool) -> DataFrame:
         scorer = _scorer(_Key(shared))
         for batch in batches:
             for at, texts in text_chunks(batch.columns[-1], 4 << 20):
-                plain = [scorer.decoder.restore(t) for t in texts.to_pylist()]
-                out = [*[c.slice(at, len(plain)) for c in batch.columns], pa.array(map(scorer.score, plain), pa.float64())]
+                read = [scorer.decoder.both(t) for t in texts.to_pylist()]
+                scores = pa.array(map(scorer.score, map("\n".join, read)), pa.float64())
+                out = [*[c.slice(at, len(read)) for c in batch.columns], scores]
                 if restored:
-                    out.append(pa.array(plain, pa.string()))
+                    out.append(pa.array([r for r, _ in read], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=[*batch.schema.names, *new])
 
     return rows.mapInArrow(run, schema)

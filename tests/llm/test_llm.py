@@ -178,6 +178,22 @@ def test_decoder():
         assert flat.restore(text) == want
 
 
+def test_decoder_reads_every_disguise():
+    flat = toxicity.Decoder(np.full((28, 28, 28), -np.log(28)))
+    for word, forms in {
+        "scum": ["$ c u m"],
+        "trash": ["t r @ s h", "ttrr@@sshh"],
+        "ass": ["@ s s"],
+        "idiot": ['"i d i o t"', "(i d i o t)", "i  d i   o t", "!diot", "|diot", '"!diot"', "idi0t" + "!" * 200]
+        + ["i" * 70 + "diot", "iddiioott"],
+        "clown": ["(lown"],
+    }.items():
+        for form in forms:
+            assert word in toxicity.signs(flat.readings(f"words, {form} words")), form
+    for text in ["wow!!! (see) 12|13", "committee bookkeeper", "a a a a", "1 2 3 4"]:
+        assert flat.restore(text) == text and toxicity.signs(text) <= toxicity.signs(flat.readings(text))
+
+
 def test_learnt_scores(spark):
     rng = np.random.default_rng(2)
     plain = [f"word{c}{d}" .replace("0", "o") for c in "abcdefgh" for d in "klmnop"]
