@@ -91,6 +91,7 @@ def write_archive(pages: DataFrame, root: str, least_bytes: int = 0) -> None:
             "payload_bytes",
             F.when(is_response, "response").otherwise("revisit").alias("record_type"),
             F.when(~is_response, F.col("first_id")).alias("refers_to"),
+            F.when(~is_response, F.col("refers_to_record")).alias("refers_to_record"),
             _header(is_response).alias("header"),
         )
         .write.parquet(f"{root}/headers")
@@ -118,21 +119,55 @@ def read_archive(spark: SparkSession, root: str) -> DataFrame:
         "page_id",
         "record_type",
         "refers_to",
+        "refers_to_record",
         "header",
         payload.alias("payload"),
         F.concat("header", body, end).alias("record"),
     )
 
 
+def header_value(record: Column, name: str) -> Column:
+    """The value of a header line of a record's bytes, or null. Headers hold UTF-8 text; payload bytes
+    after the blank line are not looked at."""
+    head = F.substring_index(F.decode(record, "ISO-8859-1"), "\r\n\r\n", 1)
+    found = F.regexp_extract(head, rf"(?:^|\r\n)\Q{name}\E: ([^\r\n]*)", 1)
+    return F.when(found != "", found)
+
+
 def archive_report(pages: DataFrame, root: str | None = None, least_bytes: int = 0) -> DataFrame:
-    """Write the pages, read them back, and describe each page's full payload."""
+    """Write the pages, read them back, and describe each page's full payload.
+
+    Type, digest and reference are those of the rebuilt records' own bytes. A record that disagrees
+    with the stored columns, or with the digest or length of its payload, ends the job.
+    """
     root = root or scratch(pages.sparkSession, "warc")
     write_archive(pages, root, least_bytes)
     records = read_archive(pages.sparkSession, root)
-    return records.select(
+    names = {"type": "WARC-Type", "digest": "WARC-Payload-Digest", "refers": "WARC-Refers-To", "length": "Content-Length"}
+    read = records.select(
         "page_id",
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        base32_sha1(F.col("payload")).alias("payload_digest"),
         "record_type",
         "refers_to",
+        "refers_to_record",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.concat(F.lit("sha1:"), base32_sha1(F.col("payload"))).alias("payload_digest"),
+        F.octet_length("record").cast("long").alias("record_bytes"),
+        F.octet_length("header").cast("long").alias("header_bytes"),
+        *[header_value(F.col("record"), name).alias(c) for c, name in names.items()],
+    )
+    is_response = F.col("type") == "response"
+    sound = (
+        (F.col("type") == F.col("record_type"))
+        & (F.col("digest") == F.col("payload_digest"))
+        & F.col("refers").eqNullSafe(F.when(~is_response, F.col("refers_to_record")))
+        & (F.col("length").cast("long") == F.when(is_response, F.col("payload_bytes")).otherwise(0))
+        & (F.col("record_bytes") == F.col("header_bytes") + F.col("length").cast("long") + 4)
+    )
+    broken = F.raise_error(F.concat(F.lit("damaged record of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("-"))))
+    return read.select(
+        "page_id",
+        "payload_bytes",
+        F.substring(F.col("digest"), 6, 32).alias("payload_digest"),
+        F.when(F.coalesce(sound, F.lit(False)), F.col("type")).otherwise(broken.cast("string")).alias("record_type"),
+        F.when(F.col("refers").isNotNull(), F.col("refers_to")).alias("refers_to"),
     )

@@ -161,6 +161,19 @@ def test_archive(spark, folder):
         warc.read_archive(spark, folder + "/bad").collect()
 
 
+def test_archive_report_reads_the_records(spark, folder, monkeypatch):
+    rows = [(1, "u/1", "ä b"), (2, "u/2", "ä b"), (3, None, None), (4, "u\r\nWARC-Type: x", "c\r\n\r\nWARC-Type: y")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.archive_report(pages, folder + "/r1").collect()}
+    assert got == {1: ("revisit", 2), 2: ("response", None), 3: ("response", None), 4: ("response", None)}
+    header = warc._header
+    for i, (good, bad) in enumerate([("Type: revisit", "Type: response"), ("sha1:", "sha1:A"), ("uuid:", "uuid:0")]):
+        swap = lambda c: F.replace(header(c).cast("string"), F.lit(good), F.lit(bad)).cast("binary")  # noqa: B023, E731
+        monkeypatch.setattr(warc, "_header", swap)
+        with pytest.raises(Exception, match="damaged record"):
+            warc.archive_report(pages, f"{folder}/bad{i}").collect()
+
+
 def test_mixing_goes_to_siblings_first(spark):
     rows = [("web", "en", "a", 10), ("web", "en", "b", 100), ("web", "de", "c", 100), ("books", "en", "d", 200)]
     leaves = spark.createDataFrame(rows, "domain string, lang string, source string, tokens long")
