@@ -45,3 +45,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
     stars = edges.selectExpr("u AS id", "v AS component")
     return stars.unionByName(stars.selectExpr("component AS id", "component").distinct())
+
+
+def one_text(sampled: DataFrame) -> DataFrame:
+    """One row of (doc_id, text, y) for each doc_id, the one whose text has the least hash: a sample
+    bounded in ids is then bounded in rows too."""
+    order = F.struct(F.xxhash64("text"), F.sha2(F.col("text"), 256))
+    return sampled.groupBy("doc_id", "y").agg(F.min_by("text", order).alias("text"))

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stormgrid.llm.components import one_text
 from stormgrid.llm.rules import CHARACTER, DIGIT, EXCLAIM, PUNCTUATION, SYMBOL, UPPER, repeated_words
 from stormgrid.llm.textvec import split_words, text_chunks
 
@@ -164,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED_PER_CLASS)
                     names=["doc_id", "y", "x"],
                 )
 
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(sample, "doc_id").select("doc_id", "y", "text")
+    texts = one_text(docs.select(F.col("doc_id").cast("long"), "text").join(sample, "doc_id")).select("doc_id", "y", "text")
     bags = texts.mapInArrow(run, "doc_id long, y int, x array<double>").toPandas()  # bounded by the sample
     if len(set(bags["y"])) < 2:
         return 0.5 if prior is None else float(prior)

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stormgrid.llm.components import stored
+from stormgrid.llm.components import one_text, stored
 from stormgrid.llm.textvec import text_chunks
 
 LABELLED_PER_CLASS = 4000  # bound of the labelled sample
@@ -305,7 +305,7 @@ def labelled_sample(labels: DataFrame, label: str, per_class: int = LABELLED_PER
 
 def _sample_texts(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
     sample = F.broadcast(labelled_sample(labels, "toxic", per_class))  # at most 2 * per_class rows
-    return docs.select(F.col("doc_id").cast("long"), "text").join(sample, "doc_id").select("y", "text")
+    return one_text(docs.select(F.col("doc_id").cast("long"), "text").join(sample, "doc_id")).select("y", "text")
 
 
 def _feature_counts(texts: DataFrame, logp: np.ndarray) -> DataFrame:

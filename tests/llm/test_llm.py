@@ -257,6 +257,13 @@ def test_anomalies_of_every_statistic(spark):
     assert np.mean([got[i][1] for i, _ in rows]) > 0.98
 
 
+def test_samples_take_one_row_of_a_document(spark):
+    docs = documents(spark, [(1, f"text {i}") for i in range(50)] + [(2, None), (2, None), (4, "b")])
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(9)], "doc_id long, quality int, toxic int")
+    assert quality_rules.labelled_sample(docs, labels, 100).count() == 3
+    assert toxicity._sample_texts(docs, labels, 100).count() <= 3
+
+
 def test_rule_statistics():
     rng = np.random.default_rng(3)
     texts = ["", " \n ", "a b\na b\n\nx#|y", "one " * 20]
