@@ -18,6 +18,7 @@ from stormgrid.llm import (
     oracle,
     quality_mil,
     quality_rules,
+    repeats,
     secret_ledger,
     toxicity,
     warc,
@@ -102,3 +103,8 @@ def op9(table) -> DataFrame:
 @query("op10_secret_ledger")
 def op10(table) -> DataFrame:
     return secret_ledger.report(table("documents"))
+
+
+@query("op11_suffix_dedup")
+def op11(table) -> DataFrame:
+    return repeats.repeated_bytes(table("documents"))
