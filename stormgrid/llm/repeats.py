@@ -37,7 +37,7 @@ from stormgrid.llm.textvec import text_chunks
 LENGTH = 50
 SAMPLE_EVERY = 64  # documents by a hash of their id; for the placing of common anchors only
 TREE_BYTES = 1 << 22  # of super-windows that are sorted together, whole buckets at a time
-TREE_PIECES = 50_000  # different super-windows of one bucket; fuller buckets are cut into windows
+TREE_PIECES = 1_000  # different super-windows of one bucket; fuller buckets are cut into windows
 DIVERSE = 256  # no byte: what stands to the left differs, or lies in another bucket
 
 MARK_SCHEMA = "key int, digest long, doc_id long, pos long"
@@ -400,8 +400,20 @@ def _found(texts: DataFrame, length: int, tree_pieces: int) -> tuple[DataFrame,
     full = stored(pieces.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > tree_pieces), "full-buckets")
     if not full.isEmpty():
         windows = pieces.join(full, "key", "left_semi").select("doc_id", "pos", "piece")
-        windows = windows.mapInArrow(window_batches(length), MARK_SCHEMA)
-        found = found.unionByName(stored(_judged(windows), "windows"))
+        windows = stored(windows.mapInArrow(window_batches(length), MARK_SCHEMA), "windows")
+        # folded before the shuffle, and a join, which is split where one window stands for many rows
+        least = windows.groupBy("key", "digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+        later = windows.join(least.where("least < most"), ["key", "digest"]).where("doc_id > least")
+        found = found.unionByName(
+            later.select(
+                "key",
+                "digest",
+                "doc_id",
+                F.lit(False).alias("first"),
+                F.lit(False).alias("contested"),
+                F.array("pos").alias("pos"),
+            )
+        )
         pieces = pieces.join(full, "key", "left_anti").select(*pieces.columns)
     trees = pieces.repartition("key").sortWithinPartitions("key").mapInArrow(tree_batches(length), TREE_SCHEMA)
     return marks, found, stored(trees, "trees")
