@@ -81,3 +81,28 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
 FROM h
 """
+
+
+LEXICAL_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id::BIGINT AS doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t
+  FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+q AS (SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id::BIGINT AS item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM benchmark WHERE item_id IS NOT NULL) GROUP BY ALL),
+s AS (SELECT count(*)::BIGINT AS docs, sum(len(t))::BIGINT AS occurrences FROM d WHERE len(t) > 0),
+p AS (SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM p WHERE term IN (SELECT term FROM q) GROUP BY term), s),
+scored AS (
+  SELECT item_id, r, doc_id, sum(times * w * ((1000000000 * tf)
+    // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // occurrences))))::BIGINT AS score
+  FROM p JOIN w USING (term) JOIN q USING (term), s GROUP BY ALL),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stormgrid.llm import (
     bpe,
+    lexical,
     license_scan,
     mixing,
     neardup,
     neighbours,
     oracle,
+    periodic,
     quality_mil,
     quality_rules,
     repeats,
@@ -108,3 +110,13 @@ def op10(table) -> DataFrame:
 @query("op11_suffix_dedup")
 def op11(table) -> DataFrame:
     return repeats.repeated_bytes(table("documents"))
+
+
+@query("op12_periodic_runs")
+def op12(table) -> DataFrame:
+    return periodic.report(table("documents"), plant=True)
+
+
+@query("op13_ranked_search", oracle.LEXICAL_SQL)
+def op13(table) -> DataFrame:
+    return lexical.search(table("documents"), table("benchmark"))
