@@ -480,3 +480,32 @@ ORACLE: dict[str, str] = {
     "city_names": WX + "SELECT DISTINCT city_name FROM seen",
     "filter_bounds": WX + "SELECT min(forecast_date) AS min_date, max(forecast_date) AS max_date FROM seen",
 }
+
+# The same figures, whichever way they are kept.
+for _rollup, _plain in {
+    "rollup_hottest": "q1_hottest",
+    "rollup_wettest": "q2_wettest",
+    "rollup_riskiest_cities": "q3_riskiest_cities",
+    "rollup_riskiest_dates": "q4_riskiest_dates",
+    "rollup_summary": "gold_summary",
+    "rollup_top_city": "top_city",
+    "rollup_flag_counts": "quality_flag_counts",
+    "rollup_map_points": "map_points",
+    "rollup_kpis": "kpis",
+    "rollup_top15": "risk_by_city_top15",
+    "rollup_city_names": "city_names",
+    "rollup_bounds": "filter_bounds",
+    "stored_period": "period_filter",
+    "serving_view_spread": "serving_view",
+    "serving_ordered": "serving_view",
+}.items():
+    ORACLE[_rollup] = ORACLE[_plain]
+_PERIOD = "WHERE forecast_date BETWEEN DATE '2023-12-20' AND DATE '2024-02-10'"
+ORACLE["rollup_period_kpis"] = WX + f"""
+    , span AS (SELECT * FROM seen {_PERIOD})
+    SELECT count(DISTINCT city_name) AS n_cities, CAST(max(temp_max) AS DOUBLE) AS temp_max,
+           CAST(max(precipitation_mm) AS DOUBLE) AS precip_max, count(*) FILTER (WHERE {HIGH}) AS n_risky,
+           (SELECT city_name FROM span GROUP BY city_name
+            ORDER BY {_exact_mean("risk_score")} DESC, city_name LIMIT 1) AS top_city
+    FROM span"""
+ORACLE["detail_page"] = ORACLE["detail_table"] + " ORDER BY risk_score DESC, city_name, forecast_date LIMIT 40 OFFSET 80"

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from stormgrid import schemas
 from stormgrid.checks import fixtures as fx
 from stormgrid.functions import coerce, scoring
-from stormgrid.operators import clean, constraints, marts, quality, reference, upsert
-from stormgrid.plans import gold as gold_plan, silver as silver_plan
+from stormgrid.operators import clean, constraints, marts, quality, reference, reports, rollup, sizing, upsert
+from stormgrid.plans import daily, gold as gold_plan, silver as silver_plan
 from stormgrid.schemas import DAILY_COLUMNS, MEASURES
 from stormgrid.session import scratch
 from stormgrid.sources import bronze, cities, layers
@@ -511,24 +511,28 @@ def high_risk(spark: SparkSession, sf: str) -> DataFrame:
     return marts.high_risk(gold).select("city", "forecast_date", "risk_score", "risk_level")
 
 
+def _cities(spark: SparkSession, sf: str) -> DataFrame:
+    return rollup.of_fact(_fact(spark, sf), "city_id")
+
+
 @query
 def map_points(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.map_points(_view(spark, sf))
+    return reports.map_points(_cities(spark, sf), fx.dim(spark, sf))
 
 
 @query
 def kpis(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.kpis(_view(spark, sf))
+    return reports.kpis(_cities(spark, sf), fx.dim(spark, sf))
 
 
 @query
 def risk_by_city_top15(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.risk_by_city(_view(spark, sf))
+    return reports.risk_by_city(_cities(spark, sf), fx.dim(spark, sf))
 
 
 @query
 def risk_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.risk_pivot(_view(spark, sf), PICKED)
+    return reports.risk_pivot(_fact(spark, sf), fx.dim(spark, sf), PICKED)
 
 
 @query
@@ -538,9 +542,141 @@ def detail_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def city_names(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.city_names(_view(spark, sf))
+    return reports.city_names(_fact(spark, sf), fx.dim(spark, sf))
 
 
 @query
 def filter_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.filter_bounds(_view(spark, sf))
+    return marts.filter_bounds(_fact(spark, sf))
+
+
+# --- reports over the maintained rollup ---------------------------------------------------
+
+_MAINTAINED: dict[tuple[str, str], str] = {}
+
+
+def _maintained(spark: SparkSession, sf: str) -> str:
+    """A root whose fact was loaded three times, with its rollup: all rows of every other city with
+    wrong figures first, then one half of the days, then all rows. Built once a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MAINTAINED:
+        root = scratch(spark, "root")
+        daily.load_dim(spark, f"{root}/dim", fx.dim(spark, sf))
+        rows = _stored_fact(spark, sf)
+        wrong = rows.where("city_id % 2 = 0").withColumn("temp_max", F.lit(59).cast("decimal(5,2)"))
+        for load in (wrong.withColumn("risk_level", F.lit("Critique")), rows.where("day(forecast_date) < 16"), rows):
+            daily.load_fact(spark, f"{root}/fact", load)
+            daily.refresh_rollup(spark, root, load)
+        _MAINTAINED[key] = root
+    return _MAINTAINED[key]
+
+
+def _cells(spark: SparkSession, sf: str, name: str = "city_months") -> DataFrame:
+    return daily.read_rollup(spark, _maintained(spark, sf), name)
+
+
+def _city_figures(spark: SparkSession, sf: str) -> DataFrame:
+    return rollup.merged(_cells(spark, sf), "city_id")
+
+
+@query
+def rollup_hottest(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.hottest_cities(_city_figures(spark, sf), fx.dim(spark, sf))
+
+
+@query
+def rollup_wettest(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.wettest_cities(_city_figures(spark, sf), fx.dim(spark, sf))
+
+
+@query
+def rollup_riskiest_cities(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.riskiest_cities(_city_figures(spark, sf), fx.dim(spark, sf))
+
+
+@query
+def rollup_riskiest_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.riskiest_dates(_cells(spark, sf, "days"))
+
+
+@query
+def rollup_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.summary(_cells(spark, sf))
+
+
+@query
+def rollup_top_city(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.top_city(_city_figures(spark, sf), fx.dim(spark, sf))
+
+
+@query
+def rollup_flag_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.flag_counts(_cells(spark, sf))
+
+
+@query
+def rollup_map_points(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.map_points(_city_figures(spark, sf), fx.dim(spark, sf))
+
+
+@query
+def rollup_kpis(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.kpis(_city_figures(spark, sf), fx.dim(spark, sf))
+
+
+@query
+def rollup_top15(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.risk_by_city(_city_figures(spark, sf), fx.dim(spark, sf))
+
+
+@query
+def rollup_city_names(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.city_names(_cells(spark, sf), fx.dim(spark, sf))
+
+
+@query
+def rollup_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.bounds(_cells(spark, sf, "days"))
+
+
+@query
+def rollup_period_kpis(spark: SparkSession, sf: str) -> DataFrame:
+    """A period from which some months are whole and come from their cells."""
+    figures = daily.period_figures(spark, _maintained(spark, sf), datetime.date(2023, 12, 20), datetime.date(2024, 2, 10))
+    return reports.kpis(figures, fx.dim(spark, sf))
+
+
+@query
+def stored_period(spark: SparkSession, sf: str) -> DataFrame:
+    """The week from today, by days that the fact's partitions name."""
+    root = _maintained(spark, sf)
+    week = daily.open_period(spark, root, "7 prochains jours", TODAY)
+    return marts.apply_filters(daily.open_view(spark, root), date_range=week).select("city_name", "forecast_date", "risk_level")
+
+
+@query
+def serving_view_spread(spark: SparkSession, sf: str) -> DataFrame:
+    """The view as it is joined when the dimension is too large to broadcast: hot cities, noted by
+    the loads, are spread over all tasks."""
+    root = _maintained(spark, sf)
+    known = sizing.Known(False, daily.known_joins(spark, root).hot)
+    dim, _ = daily.read_dim(spark, f"{root}/dim")
+    return _plain(upsert.serving_view(daily.read_fact(spark, f"{root}/fact"), dim, known))
+
+
+PAGE = 40
+
+
+@query
+def detail_page(spark: SparkSession, sf: str) -> DataFrame:
+    """The third page, each found from the end of the one before it."""
+    view = daily.open_view(spark, _maintained(spark, sf))
+    after = None
+    for _ in range(2):
+        after = marts.page_end(marts.detail_page(view, PAGE, after).collect())
+    return _plain(marts.detail_page(view, PAGE, after))
+
+
+@query
+def serving_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    return _plain(daily.open_view(spark, _maintained(spark, sf))).orderBy("city_name", "forecast_date")

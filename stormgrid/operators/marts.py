@@ -203,6 +203,54 @@ def detail_table(view: DataFrame) -> DataFrame:
     return view.select(*DETAIL_COLUMNS).orderBy(F.desc("risk_score"), "city_name", "forecast_date")
 
 
+def _comes_after(order: Sequence[tuple[str, bool]], last: Sequence) -> Column:
+    """Rows behind the one with the values ``last`` in an order of (column, descending), in which
+    nulls are the least."""
+    behind, tied = F.lit(False), F.lit(True)
+    for (column, descending), value in zip(order, last, strict=True):
+        c = F.col(column)
+        if descending:
+            past = F.lit(False) if value is None else (c < F.lit(value)) | c.isNull()
+        else:
+            past = c.isNotNull() if value is None else c > F.lit(value)
+        behind, tied = behind | (tied & past), tied & c.eqNullSafe(F.lit(value))
+    return behind
+
+
+DETAIL_ORDER = [("risk_score", True), ("city_name", False), ("forecast_date", False)]
+
+
+def detail_page(view: DataFrame, size: int, after: Sequence | None = None) -> DataFrame:
+    """The next ``size`` rows of the detail table behind the row whose score, city and date are
+    ``after``, the first ones without it.
+
+    A seek: rows of higher scores are left out by the scan, and of the others only the page is
+    ever sorted, so a page far down costs no more than the first.
+    """
+    rows = view.select(*DETAIL_COLUMNS)
+    if after is not None:
+        score = F.col("risk_score")
+        reached = score.isNull() if after[0] is None else (score <= F.lit(after[0])) | score.isNull()
+        rows = rows.where(reached).where(_comes_after(DETAIL_ORDER, after))
+    return rows.orderBy(F.desc("risk_score"), "city_name", "forecast_date").limit(size)
+
+
+def page_end(page: Sequence) -> tuple | None:
+    """What to pass as ``after`` for the page behind this one's rows; None behind the last."""
+    return tuple(page[-1][c] for c, _ in DETAIL_ORDER) if page else None
+
+
+def period_days(
+    preset: str, today: datetime.date, first: datetime.date, last: datetime.date
+) -> tuple[datetime.date, datetime.date]:
+    """``period_bounds`` for stored days whose first and last are known."""
+    length = policy.PERIODS.get(preset)
+    if length is None:
+        return first, last
+    start, end = max(today, first), min(today + datetime.timedelta(days=max(length - 1, 0)), last)
+    return (start, end) if start <= end else (first, last)
+
+
 def city_names(view: DataFrame) -> DataFrame:
     return view.select("city_name").distinct().orderBy("city_name")
 

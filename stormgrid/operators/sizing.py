@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from stormgrid.session import scratch
@@ -10,13 +12,17 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 20_000_000
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether rows and text are few enough to broadcast: one distributed aggregate, which sends
-    a single row from each task."""
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows, and about how many bytes they take: one distributed aggregate, which sends a single row
+    from each task."""
     texts = [F.octet_length(f.name) for f in df.schema.fields if f.dataType.typeName() == "string"]
     width = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(16 * len(df.columns)))
-    n, size = df.agg(F.count("*"), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
-    return n <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+    return tuple(df.agg(F.count("*"), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first())
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether rows and text are few enough to broadcast."""
+    return small_enough(*measured(df))
 
 
 def broadcast_if_bounded(df: DataFrame, bound: DataFrame) -> DataFrame:
@@ -46,9 +52,14 @@ def join_dimension(df: DataFrame, dim: DataFrame, key: str, how: str = "inner")
     counted.write.parquet(path)
     counts = spark.read.schema(counted.schema).parquet(path)
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    hot = counts.where(F.col("_n") * share > total).select(key, F.lit(True).alias("_hot"))
-    # the rows are read once more: hot ones, and those without a key, are dealt by a salt, and
-    # the few dimension rows of hot keys are repeated for every salt
+    return _spread(df, dim, key, how, counts.where(F.col("_n") * share > total).select(key))
+
+
+def _spread(df: DataFrame, dim: DataFrame, key: str, how: str, hot: DataFrame) -> DataFrame:
+    """The join by shuffle: rows of the few ``hot`` keys, and those without a key, are dealt by a
+    salt, and the dimension rows of hot keys are repeated for every salt."""
+    share = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot.withColumn("_hot", F.lit(True))
     tagged = df.join(F.broadcast(hot), key, "left")
     spread = F.coalesce("_hot", F.lit(False)) | F.col(key).isNull()
     deal = F.xxhash64(*df.columns, F.spark_partition_id())  # equal rows of several tasks part
@@ -56,3 +67,34 @@ def join_dimension(df: DataFrame, dim: DataFrame, key: str, how: str = "inner")
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(share - 1))).otherwise(F.array(F.lit(0)))
     repeated = dim.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
     return tagged.withColumn("_salt", salt).drop("_hot").join(repeated, [key, "_salt"], how).drop("_salt")
+
+
+# A key is hot with more than this part of all rows; fewer than that many can be.
+HOT_SHARES = 1000
+
+
+@dataclass(frozen=True)
+class Known:
+    """What a load has noted for the joins that follow it: whether the dimension is small enough to
+    broadcast, and its hot keys, fewer than ``HOT_SHARES``."""
+
+    small: bool
+    hot: DataFrame
+
+
+def small_enough(rows: int, size: int) -> bool:
+    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+
+
+def hot_keys(counts: DataFrame, key: str, rows: str = "rows") -> DataFrame:
+    """Keys with more than one of ``HOT_SHARES`` parts of all rows, of a table of rows by key."""
+    total = F.coalesce(counts.select(F.sum(rows)).scalar(), F.lit(0))
+    return counts.where(F.col(rows) * HOT_SHARES > total).select(key)
+
+
+def join_known(df: DataFrame, dim: DataFrame, key: str, known: Known, how: str = "inner") -> DataFrame:
+    """``join_dimension`` with what is known beforehand: the rows are read once, and no job runs
+    while the plan is put together."""
+    if known.small:
+        return df.join(F.broadcast(dim), key, how)
+    return _spread(df, dim, key, how, known.hot.select(key))

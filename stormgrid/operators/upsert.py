@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stormgrid.operators.clean import first_per_key
 from stormgrid.operators.numbering import number_in_order
-from stormgrid.operators.sizing import join_dimension
+from stormgrid.operators.sizing import Known, join_dimension, join_known
 from stormgrid.schemas import (
     DIM,
     FACT_KEY,
@@ -65,9 +65,13 @@ def upsert_dim(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return known.unionByName(fresh).select(*[F.col(f.name).cast(f.dataType) for f in DIM.fields])
 
 
-def with_city_id(gold: DataFrame, dim: DataFrame) -> DataFrame:
-    """Rows whose city the dimension knows."""
-    return join_dimension(gold, dim.select("city_id", F.col("city_name").alias("city")), "city")
+def _with_dimension(rows: DataFrame, dim: DataFrame, key: str, known: Known | None) -> DataFrame:
+    return join_dimension(rows, dim, key) if known is None else join_known(rows, dim, key, known)
+
+
+def with_city_id(gold: DataFrame, dim: DataFrame, known: Known | None = None) -> DataFrame:
+    """Rows whose city the dimension knows. ``known`` names hot cities by ``city``."""
+    return _with_dimension(gold, dim.select("city_id", F.col("city_name").alias("city")), "city", known)
 
 
 def unmapped_cities(gold: DataFrame, dim: DataFrame) -> DataFrame:
@@ -76,9 +80,9 @@ def unmapped_cities(gold: DataFrame, dim: DataFrame) -> DataFrame:
     return per_city.join(dim.select(F.col("city_name").alias("city")), "city", "left_anti")
 
 
-def serving_rows(gold: DataFrame, dim: DataFrame, loaded_at: Column) -> DataFrame:
+def serving_rows(gold: DataFrame, dim: DataFrame, loaded_at: Column, known: Known | None = None) -> DataFrame:
     """Gold as fact rows in the declared types."""
-    mapped = with_city_id(nan_to_null(gold), dim)
+    mapped = with_city_id(nan_to_null(gold), dim, known)
     values = serving_values()
     return mapped.select(
         F.col("city_id"),
@@ -135,6 +139,6 @@ def history_latest(history: DataFrame, as_of: Column | None = None) -> DataFrame
     return first_per_key(history, FACT_KEY, [F.desc("run_date")])
 
 
-def serving_view(fact: DataFrame, dim: DataFrame) -> DataFrame:
+def serving_view(fact: DataFrame, dim: DataFrame, known: Known | None = None) -> DataFrame:
     """Fact rows with their city; unordered, so that filters reach the scan."""
-    return join_dimension(fact, dim, "city_id").select(*VIEW_COLUMNS)
+    return _with_dimension(fact, dim, "city_id", known).select(*VIEW_COLUMNS)

@@ -7,13 +7,14 @@ form; only what the layer no longer shows is counted while it is being written.
 
 from __future__ import annotations
 
+import datetime
 import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from stormgrid import schemas
-from stormgrid.operators import clean, constraints, quality, reference, upsert
+from stormgrid.operators import clean, constraints, marts, quality, reference, rollup, sizing, upsert
 from stormgrid.plans import gold as gold_plan, silver as silver_plan
 from stormgrid.session import require_ansi, scratch
 from stormgrid.sources import bronze, cities, layers
@@ -131,11 +132,22 @@ def run_gold(spark: SparkSession, root: str, run_date: str) -> Outcome:
 DIM_VERSIONS_KEPT = 3
 
 
-def _committed_versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the versions whose job committed, by their folders' names; no data is read."""
+def _committed_versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and folder of the versions whose job committed, by the folders' names; no data is
+    read. A name may go on with what is known of the version: ``version=7-rows=25-bytes=1800``."""
     names = (layers.names(spark, path, "version=") if layers.exists(spark, path) else [])
-    numbers = sorted(int(n.partition("=")[2]) for n in names)
-    return [n for n in numbers if layers.exists(spark, f"{path}/version={n}/_SUCCESS")]
+    numbered = sorted((int(n.partition("=")[2].partition("-")[0]), n) for n in names)
+    return [v for v in numbered if layers.exists(spark, f"{path}/{v[1]}/_SUCCESS")]
+
+
+def _write_version(spark: SparkSession, path: str, rows: DataFrame, known: str = "") -> None:
+    """Write a table as its next version; readers of the current one are not disturbed, and the folder
+    counts only once the job commits. All but the last few versions are dropped."""
+    versions = _committed_versions(spark, path)
+    number = versions[-1][0] + 1 if versions else 1
+    rows.write.mode("overwrite").parquet(f"{path}/version={number}{known}")
+    for _, old in _committed_versions(spark, path)[:-DIM_VERSIONS_KEPT]:
+        layers.drop(spark, f"{path}/{old}")
 
 
 def read_dim(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
@@ -147,7 +159,8 @@ def read_dim(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     versions = _committed_versions(spark, path)
     if not versions:
         return spark.createDataFrame([], schemas.DIM), 0
-    return spark.read.schema(schemas.DIM).parquet(f"{path}/version={versions[-1]}"), versions[-1]
+    number, folder = versions[-1]
+    return spark.read.schema(schemas.DIM).parquet(f"{path}/{folder}"), number
 
 
 def next_dim(spark: SparkSession, path: str, gold: DataFrame) -> DataFrame:
@@ -160,15 +173,32 @@ def next_dim(spark: SparkSession, path: str, gold: DataFrame) -> DataFrame:
 
 
 def load_dim(spark: SparkSession, path: str, dim: DataFrame) -> DataFrame:
-    """Write the dimension as its next version; readers of the current one are not disturbed, and
-    the folder counts only once the job commits. All but the last few versions are dropped."""
-    _, version = read_dim(spark, path)
-    dim.write.mode("overwrite").parquet(f"{path}/version={version + 1}")
-    for old in _committed_versions(spark, path)[:-DIM_VERSIONS_KEPT]:
-        layers.drop(spark, f"{path}/version={old}")
+    """Write the dimension as its next version, under a name that tells its size."""
+    rows, size = sizing.measured(dim)
+    _write_version(spark, path, dim, f"-rows={rows}-bytes={size}")
     return read_dim(spark, path)[0]
 
 
+def known_joins(spark: SparkSession, root: str) -> sizing.Known | None:
+    """What the last load noted for joins with the dimension, read from folder names and a table
+    of fewer than ``sizing.HOT_SHARES`` rows that is left to the plan; None before any load."""
+    dims, noted = _committed_versions(spark, f"{root}/dim"), _committed_versions(spark, f"{root}/hot")
+    if not dims or not noted or "-rows=" not in dims[-1][1]:
+        return None
+    told = dict(part.split("=") for part in dims[-1][1].split("-")[1:])
+    hot = spark.read.schema("city_id int").parquet(f"{root}/hot/{noted[-1][1]}")
+    return sizing.Known(sizing.small_enough(int(told["rows"]), int(told["bytes"])), hot)
+
+
+def _known_names(known: sizing.Known | None, dim: DataFrame) -> sizing.Known | None:
+    """The same by name, for rows that have no id yet; a city that is new to the load cannot be
+    known, and the size of the dimension that the load is about to store is measured."""
+    if known is None:
+        return None
+    named = dim.join(F.broadcast(known.hot), "city_id").select(F.col("city_name").alias("city"))
+    return sizing.Known(sizing.is_small(dim), named)
+
+
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return layers.read_or_empty(spark, path, schemas.FACT)
 
@@ -200,6 +230,44 @@ def load_fact(spark: SparkSession, path: str, incoming: DataFrame) -> None:
     layers.write_spread(merged_days, path, "forecast_date", ["city_id"])
 
 
+ROLLUPS = {"city_months": (rollup.city_months, rollup.CITY_MONTHS, "city_id"), "days": (rollup.days, rollup.DAYS, "forecast_date")}
+
+
+def read_rollup(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Stored figures by city and month (``city_months``) or by day (``days``)."""
+    return layers.read_or_empty(spark, f"{root}/rollup/{name}", ROLLUPS[name][1])
+
+
+def stored_bounds(spark: SparkSession, root: str) -> tuple[datetime.date, datetime.date] | None:
+    """First and last day of the fact from the names of its partitions: nothing is scanned."""
+    path = f"{root}/fact"
+    names = layers.names(spark, path, "forecast_date=") if layers.exists(spark, path) else []
+    days = sorted(datetime.date.fromisoformat(n.partition("=")[2]) for n in names)
+    return (days[0], days[-1]) if days else None
+
+
+def refresh_rollup(spark: SparkSession, root: str, days: DataFrame) -> None:
+    """Recompute the rollup of the months in which some days of the fact have changed, and note the
+    cities that now hold so many rows that joins must spread them.
+
+    Months are replaced whole, from the fact as it is stored, so this can be repeated at will.
+    """
+    month = F.trunc("forecast_date", "MM").alias("month")
+    months = [r[0] for r in days.where("forecast_date IS NOT NULL").select(month).distinct().collect()]
+    if not months:
+        return
+    fact = rollup.in_months(read_fact(spark, f"{root}/fact"), months)
+    path = f"{root}/fact"
+    stored = layers.names(spark, path, "forecast_date=") if layers.exists(spark, path) else []
+    left = {n.partition("=")[2][:7] for n in stored}
+    for name, (cells, _, order) in ROLLUPS.items():
+        layers.write_spread(cells(fact), f"{root}/rollup/{name}", "month", [order])
+        for gone in (m for m in months if m.isoformat()[:7] not in left):  # nothing overwrites these
+            layers.drop(spark, f"{root}/rollup/{name}/month={gone}")
+    counts = read_rollup(spark, root, "city_months").groupBy("city_id").agg(F.sum("rows").alias("rows"))
+    _write_version(spark, f"{root}/hot", sizing.hot_keys(counts, "city_id"))
+
+
 def run_load(spark: SparkSession, root: str, run_date: str, loaded_at: str) -> Outcome:
     """Load a run's gold rows. Rows without a date cannot be placed: they are set aside, with a
     reason and a count. Everything else that breaks a constraint ends the load before any table
@@ -208,7 +276,8 @@ def run_load(spark: SparkSession, root: str, run_date: str, loaded_at: str) -> O
     gold = layers.read_layer(spark, f"{root}/gold", schemas.GOLD, run_date)
     dim = next_dim(spark, f"{root}/dim", gold)
     staged = scratch(spark, "load")
-    upsert.serving_rows(gold, dim, F.lit(loaded_at)).write.parquet(staged)
+    known = _known_names(known_joins(spark, root), dim)
+    upsert.serving_rows(gold, dim, F.lit(loaded_at), known).write.parquet(staged)
     rows = spark.read.schema(schemas.FACT).parquet(staged)
     incoming, rejected = upsert.placeable(rows)
     constraints.enforce(dim, incoming)
@@ -216,6 +285,7 @@ def run_load(spark: SparkSession, root: str, run_date: str, loaded_at: str) -> O
     dim = load_dim(spark, f"{root}/dim", dim)
     _write_run(rejected, f"{root}/rejected", run_date, ["city_id"])
     load_fact(spark, f"{root}/fact", incoming)
+    refresh_rollup(spark, root, incoming)
     history = upsert.history_rows(incoming, _run_day(run_date), F.lit(loaded_at))
     _write_run(history, f"{root}/history", run_date, ["city_id", "forecast_date"])
 
@@ -251,6 +321,8 @@ def remove_cities(spark: SparkSession, root: str, deleted: DataFrame) -> None:
         for part in parts:  # nothing is left to overwrite these with
             if part not in kept:
                 layers.drop(spark, f"{path}/{key}={part}")
+        if table == "fact" and parts:
+            refresh_rollup(spark, root, spark.createDataFrame([(p,) for p in parts], "forecast_date date"))
     dim, _ = read_dim(spark, f"{root}/dim")
     load_dim(spark, f"{root}/dim", upsert.cascade_delete(dim, deleted))
 
@@ -285,4 +357,25 @@ def run_day(
 def open_view(spark: SparkSession, root: str) -> DataFrame:
     """The serving view over the stored tables, lazy, for questions and reports."""
     dim, _ = read_dim(spark, f"{root}/dim")
-    return upsert.serving_view(read_fact(spark, f"{root}/fact"), dim)
+    return upsert.serving_view(read_fact(spark, f"{root}/fact"), dim, known_joins(spark, root))
+
+
+def open_period(
+    spark: SparkSession, root: str, preset: str, today: datetime.date
+) -> tuple[datetime.date, datetime.date] | None:
+    """First and last day of a preset period, from the partitions that are stored."""
+    bounds = stored_bounds(spark, root)
+    return None if bounds is None else marts.period_days(preset, today, *bounds)
+
+
+def period_figures(spark: SparkSession, root: str, first: datetime.date, last: datetime.date) -> DataFrame:
+    """City figures of a period, for ``operators.reports``."""
+    cells, fact = read_rollup(spark, root, "city_months"), read_fact(spark, f"{root}/fact")
+    return rollup.of_period(cells, fact, first, last)
+
+
+def export_view(spark: SparkSession, root: str, path: str) -> None:
+    """The serving view as CSV in the order of city and date: a file for each range of it, whose names
+    sort as the ranges do, so the files one after the other are the ordered table."""
+    view = open_view(spark, root).orderBy("city_name", "forecast_date")
+    view.write.mode("overwrite").option("header", True).option("timestampNTZFormat", layers.CSV_STAMP).csv(path)
