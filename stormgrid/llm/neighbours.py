@@ -2,9 +2,9 @@
 
 Vectors are projected to a few dimensions with a Gaussian (2-stable) matrix: the squared
 projected distance over the squared true one follows a chi-square law of as many degrees. A
-kd-tree over the projections hands out neighbours in growing projected distance; each is
-verified with its true distance. The search ends when a vector as near as the k-th found would,
-by that law, already have been handed out with the wanted confidence.
+kd-tree over the projections hands out neighbours leaf by leaf in growing projected distance, in
+groups that double; each is verified with its true distance. The search ends when a vector as
+near as the k-th found would, by that law, already have been handed out with the wanted confidence.
 
 Rows are dealt to blocks by a hash, and every block has its own tree. Every query visits every
 block: a stated query set against all rows, in blocks.
@@ -12,7 +12,6 @@ block: a stated query set against all rows, in blocks.
 
 from __future__ import annotations
 
-import heapq
 import math
 
 import numpy as np
@@ -23,7 +22,6 @@ PROJECTED = 8  # even, for the closed form of the chi-square law
 CONFIDENCE = 0.99
 BLOCK_ROWS = 20_000
 LEAF = 64
-STEP = 64  # neighbours verified at a time
 QUERY_EVERY = 100
 
 
@@ -47,61 +45,39 @@ def stop_ratio(confidence: float) -> float:
 
 
 class KdTree:
-    """Points in a box tree, split at the median of the widest side."""
+    """Points in a box tree, split at the median of the widest side: its leaves in order."""
 
     def __init__(self, points: np.ndarray):
         self.points = points
         self.order = np.arange(len(points))
-        self.nodes: list[tuple] = []  # (low, high, left, right) or (low, high, begin, end, leaf)
-        self.root = self._build(0, len(points)) if len(points) else None
+        leaves: list[tuple] = []  # (begin, end, low, high)
+        if len(points):
+            self._build(0, len(points), leaves)
+        self.begin, self.end = (np.array([leaf[i] for leaf in leaves], np.int64) for i in (0, 1))
+        self.low, self.high = (np.array([leaf[i] for leaf in leaves]) for i in (2, 3))
 
-    def _build(self, begin: int, end: int) -> int:
+    def _build(self, begin: int, end: int, leaves: list[tuple]) -> None:
         mine = self.points[self.order[begin:end]]
         low, high = mine.min(0), mine.max(0)
-        place = len(self.nodes)
-        self.nodes.append(())
         side = int(np.argmax(high - low))
         if end - begin <= LEAF or high[side] == low[side]:
-            self.nodes[place] = (low, high, begin, end, True)
-            return place
+            leaves.append((begin, end, low, high))
+            return
         middle = (end - begin) // 2
         self.order[begin:end] = self.order[begin:end][np.argpartition(mine[:, side], middle)]
-        left = self._build(begin, begin + middle)
-        right = self._build(begin + middle, end)
-        self.nodes[place] = (low, high, left, right, False)
-        return place
+        self._build(begin, begin + middle, leaves)
+        self._build(begin + middle, end, leaves)
 
     def nearest(self, q: np.ndarray):
-        """(places, squared distances) in growing distance, some at a time."""
-
-        def gap(node: int) -> float:
-            low, high = self.nodes[node][:2]
-            d = np.maximum(np.maximum(low - q, q - high), 0)
-            return float(d @ d)
-
-        if self.root is None:
-            return
-        boxes = [(gap(self.root), self.root)]
-        seen_d, seen_i = np.zeros(0), np.zeros(0, np.int64)
-        while boxes or len(seen_d):
-            while boxes and len(seen_d) < STEP or boxes and (len(seen_d) and boxes[0][0] <= np.partition(seen_d, STEP - 1)[STEP - 1]):
-                _, node = heapq.heappop(boxes)
-                _, _, a, b, leaf = self.nodes[node]
-                if leaf:
-                    places = self.order[a:b]
-                    seen_d = np.r_[seen_d, ((self.points[places] - q) ** 2).sum(1)]
-                    seen_i = np.r_[seen_i, places]
-                else:
-                    heapq.heappush(boxes, (gap(a), a))
-                    heapq.heappush(boxes, (gap(b), b))
-            if len(seen_d) > STEP:
-                take = np.argpartition(seen_d, STEP - 1)[:STEP]
-            else:
-                take = np.arange(len(seen_d))
-            rest = np.ones(len(seen_d), bool)
-            rest[take] = False
-            yield seen_i[take], seen_d[take]
-            seen_d, seen_i = seen_d[rest], seen_i[rest]
+        """(places in ``order``, squared distance that all later ones exceed or reach) by leaves in
+        growing distance, twice as many each time."""
+        gaps = (np.maximum(np.maximum(self.low - q, q - self.high), 0) ** 2).sum(1)
+        by_gap, done, step = np.argsort(gaps, kind="stable"), 0, 1
+        while done < len(by_gap):
+            some = by_gap[done : done + step]
+            done, step = done + len(some), step * 2
+            places = np.concatenate([np.arange(self.begin[i], self.end[i]) for i in some])
+            yield places, float(gaps[by_gap[done]]) if done < len(by_gap) else math.inf
 
 
 def distances(vectors: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -113,19 +89,25 @@ def search_block(ids, vectors, query_ids, queries, k: int, confidence: float, se
     rng = np.random.default_rng(seed)
     matrix = rng.standard_normal((vectors.shape[1], PROJECTED))
     tree, projected = KdTree(vectors @ matrix), queries @ matrix
+    ids, vectors = ids[tree.order], vectors[tree.order]
+    norms = (vectors**2).sum(1)
     ratio, out = stop_ratio(confidence), []
     for query, q, p in zip(query_ids, queries, projected):
-        found_d, found_i = np.zeros(0), np.zeros(0, np.int64)
-        for places, squares in tree.nearest(p):
+        found_d, found_i, norm = np.zeros(0), np.zeros(0, np.int64), float(q @ q)
+        for places, beyond in tree.nearest(p):
             places = places[ids[places] != query]
+            if len(found_d) == k:
+                # one product tells nearly all that are too far; the rest is measured exactly
+                about = norms[places] - 2 * (vectors[places] @ q) + norm
+                places = places[about <= found_d[-1] ** 2 + 1e-9 * (norms[places] + norm)]
             d = np.r_[found_d, distances(vectors[places], q)]
             i = np.r_[found_i, ids[places]]
             order = np.lexsort((i, d))
             # rows that repeat an id are one candidate, at the smallest distance
             order = order[np.sort(np.unique(i[order], return_index=True)[1])][:k]
             found_d, found_i = d[order], i[order]
-            # all not handed out yet project at least as far as the last that was
-            if len(found_d) == k and squares.max() > ratio * found_d[-1] ** 2:
+            # all not handed out yet project at least that far
+            if len(found_d) == k and beyond > ratio * found_d[-1] ** 2:
                 break
         out += [(query, i, d) for i, d in zip(found_i, found_d)]
     return out
