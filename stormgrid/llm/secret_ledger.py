@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from stormgrid.llm.components import unused
 from stormgrid.session import scratch
 from stormgrid.sources.layers import exists
 
@@ -189,15 +190,16 @@ def redact(docs: DataFrame, ledger: str, mark: str = "[secret]", rules: tuple[Ru
     """The rows with each stretch of found spans replaced by a mark and n_chars set anew; all
     other columns, and the texts without findings, stay as they are."""
     found = scan(docs.select(F.col("doc_id").alias("path"), "text"), ledger, rules)
+    blob_, spans_, tail_ = (unused(c, docs.columns) for c in ("_blob", "_spans", "_tail"))
     marked = (
         found.where(F.size("spans") > 0)
         .groupBy("blob")
-        .agg(F.first("spans").alias("_spans"))  # equal for all paths of a blob
-        .withColumnRenamed("blob", "_blob")
+        .agg(F.first("spans").alias(spans_))  # equal for all paths of a blob
+        .withColumnRenamed("blob", blob_)
     )
     blob = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
     # few texts have findings; their digests are joined where small enough, else by shuffle
-    rows = docs.withColumn("_blob", blob).join(marked, "_blob", "left")
+    rows = docs.withColumn(blob_, blob).join(marked, blob_, "left")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def cut(acc: Column, s: Column) -> Column:
@@ -205,11 +207,11 @@ def redact(docs: DataFrame, ledger: str, mark: str = "[secret]", rules: tuple[Ru
         add = F.when((s["start"] < acc["at"]) & (acc["at"] > 0), F.lit("")).otherwise(F.concat(gap, F.lit(mark)))
         return F.struct(F.greatest(s["end"], acc["at"]).alias("at"), F.concat(acc["out"], add).alias("out"))
 
-    cleaned = F.aggregate("_spans", zero, cut, lambda acc: acc["out"])
-    tail = F.aggregate("_spans", F.lit(0), lambda at, s: F.greatest(at, s["end"]))
-    whole = F.concat(cleaned, F.substring(F.col("text"), F.col("_tail") + 1, F.length("text")))
-    rows = rows.withColumn("_tail", tail)
-    changed = F.col("_spans").isNotNull()
+    cleaned = F.aggregate(spans_, zero, cut, lambda acc: acc["out"])
+    tail = F.aggregate(spans_, F.lit(0), lambda at, s: F.greatest(at, s["end"]))
+    whole = F.concat(cleaned, F.substring(F.col("text"), F.col(tail_) + 1, F.length("text")))
+    rows = rows.withColumn(tail_, tail)
+    changed = F.col(spans_).isNotNull()
     out = rows.withColumn("text", F.when(changed, whole).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
