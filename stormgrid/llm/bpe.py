@@ -25,10 +25,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from stormgrid.llm.textvec import BASE, BASE_INVERSE, BYTE_CODE, U64, mix, powers, text_chunks
+from stormgrid.llm.textvec import BASE, BASE_INVERSE, BYTE_CODE, U64, mix, powers, release, text_chunks
 
 SPACE, LETTER, NUMBER, OTHER, SPECIAL = range(5)
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 19
 SIDE_BY_SIDE_BYTES = 32  # longer words are encoded one at a time
 SLOTS = 1 << 18
 ARC_SLOTS = 1 << 20
@@ -261,9 +261,9 @@ class Automaton:
         np.cumsum(BYTE_CODE[data] * powers(BASE, len(data)), out=sums[1:])
         inverse = powers(BASE_INVERSE, len(data) + 1)
         salts = np.arange(most + 1, dtype=U64) * LENGTH_SALT
-        state = np.zeros((n, most + 1), np.int64)
-        last = np.full((n, most + 1), -1, np.int64)
-        came = np.zeros((n, most + 1), np.int64)
+        state = np.zeros((n, most + 1), np.int32)
+        last = np.full((n, most + 1), -1, np.int32)
+        came = np.zeros((n, most + 1), np.int32)
         for end in range(1, most + 1):
             rest = np.arange(int(np.searchsorted(-length, -end, side="right")))
             stop = start + end
@@ -274,7 +274,7 @@ class Automaton:
                 raw = (sums[stop[rest]] - sums[begin]) * inverse[begin]
                 token = self.tokens_of(mix(raw + salts[size]))
                 some = np.flatnonzero(token >= 0)
-                good = some[self.arcs(state[rest[some], end - size], token[some])]
+                good = some[self.arcs(state[rest[some], end - size].astype(np.int64), token[some])]
                 rows, found = rest[good], token[good]
                 state[rows, end], last[rows, end], came[rows, end] = self.leads[found], found, end - size
                 keep = np.ones(len(rest), bool)
@@ -458,6 +458,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", digests: bool =
                 else:
                     out.append(pa.ListArray.from_arrays(pa.array(bound, pa.int32()), pa.array(ids, pa.int32())))
                 yield pa.RecordBatch.from_arrays(out, names=[*keep, *new])
+        release()
 
     return rows.mapInArrow(run, _schema(rows.drop("_bpe_text"), new))
 

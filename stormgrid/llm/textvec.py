@@ -7,6 +7,9 @@ to 64 bits from their bytes; two different words get equal hashes with a chance
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +55,16 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def release() -> None:
+    """Give back what a task leaves behind: workers are used again, and their sizes add up."""
+    for base in [b for b, held in _powers.items() if len(held) > CHUNK_BYTES]:
+        del _powers[base]
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where there is no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 @dataclass
 class Words:
     """All words of some texts in order. ``first[i]:first[i + 1]`` are those of text i, and

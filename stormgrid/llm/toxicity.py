@@ -26,8 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stormgrid.llm.components import one_text, stored
-from stormgrid.llm.textvec import text_chunks
+from stormgrid.llm.components import one_text, stored, unused
+from stormgrid.llm.textvec import release, text_chunks
 
 LABELLED_PER_CLASS = 4000  # bound of the labelled sample
 FOLDS, HELD_OUT_FOLD = 3, 1
@@ -382,23 +382,24 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED_PER_CLASS)
     return model
 
 
-def _with_scores(rows: DataFrame, model: Model, restored: bool) -> DataFrame:
+def _with_scores(rows: DataFrame, model: Model, restored: bool, name: str = "_score") -> DataFrame:
     """Rows with a score of their last column, the text, and its restored form if asked for."""
     shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded, see Model
-    new = ["_score", *["restored"] * restored]
+    new = [name, *["restored"] * restored]
     fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in rows.schema.fields]
-    schema = ", ".join([*fields, "_score double", *["restored string"] * restored])
+    schema = ", ".join([*fields, f"{name} double", *["restored string"] * restored])
 
     def run(batches):
         scorer = _scorer(_Key(shared))
         for batch in batches:
-            for at, texts in text_chunks(batch.columns[-1], 4 << 20):
+            for at, texts in text_chunks(batch.columns[-1], 1 << 19):
                 read = [scorer.decoder.both(t) for t in texts.to_pylist()]
                 scores = pa.array(map(scorer.score, map("\n".join, read)), pa.float64())
                 out = [*[c.slice(at, len(read)) for c in batch.columns], scores]
                 if restored:
                     out.append(pa.array([r for r, _ in read], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=[*batch.schema.names, *new])
+        release()
 
     return rows.mapInArrow(run, schema)
 
@@ -422,7 +423,8 @@ def score(docs: DataFrame, model: Model, restored: bool = False) -> DataFrame:
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The rows below the threshold with all their columns."""
     rest = [c for c in docs.columns if c != "text"]
-    kept = _with_scores(docs.select(*rest, "text"), model, False).where(F.col("_score") < THRESHOLD)
+    name = unused("_score", docs.columns)
+    kept = _with_scores(docs.select(*rest, "text"), model, False, name).where(F.col(name) < THRESHOLD)
     return kept.select(*docs.columns)
 
 
