@@ -53,7 +53,8 @@ STAGES = [
     ("bpe", tokenize),
 ]
 
-# Learnt scores and automata are beyond SQL; the tests hold the pipeline against plain Python.
+# Learnt scores and automata are beyond SQL; tests/llm/test_pipeline.py holds each stage against
+# plain Python.
 ORACLE_SQL = None
 
 
