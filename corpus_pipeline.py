@@ -16,16 +16,26 @@ from stormgrid.session import scratch
 MIX = mixing.Mix(percent=95, epochs=1)
 
 
+# Rows that travel to a Python worker at a time. A batch is held several times over, by Spark and
+# by the worker, and five stages of workers and compiled plans share an executor here.
+BATCH_ROWS = 1000
+
+
+def workers(spark: SparkSession) -> None:
+    importable(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity threshold."""
-    importable(spark)
+    workers(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.keep_clean(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near-duplicates."""
-    importable(spark)
+    workers(spark)
     return neardup.keep_first(docs)
 
 
@@ -41,7 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
-    importable(spark)
+    workers(spark)
     return bpe.encode(docs.select("doc_id", "lang", "source", "text"), VOCABULARY).drop("text")
 
 
