@@ -509,3 +509,11 @@ ORACLE["rollup_period_kpis"] = WX + f"""
             ORDER BY {_exact_mean("risk_score")} DESC, city_name LIMIT 1) AS top_city
     FROM span"""
 ORACLE["detail_page"] = ORACLE["detail_table"] + " ORDER BY risk_score DESC, city_name, forecast_date LIMIT 40 OFFSET 80"
+ORACLE["history_stored_latest"] = _LOADED + """SELECT run_date, city_id, forecast_date,
+    CAST(risk_score AS DOUBLE) AS risk_score, loaded_at AS recorded_at FROM replayed"""
+ORACLE["cascade_history"] = RUNS + """SELECT run_date, city_id, forecast_date,
+    CAST(risk_score AS DOUBLE) AS risk_score, risk_level
+    FROM fact JOIN dim USING (city_id) WHERE latitude <= 20 OR latitude IS NULL"""
+ORACLE["rejected_rows"] = WX + """SELECT city, forecast_date, 'precipitation_mm decimal(6,2)' AS reason
+    FROM gold WHERE precipitation_mm * 1000 >= 9999.995
+    UNION ALL SELECT city, forecast_date, 'wind_gust_max decimal(5,2)' FROM gold WHERE wind_gust_max * 16 >= 999.995"""

@@ -680,3 +680,46 @@ def detail_page(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def serving_ordered(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(daily.open_view(spark, _maintained(spark, sf))).orderBy("city_name", "forecast_date")
+
+
+# --- stored jobs --------------------------------------------------------------------------
+
+
+def _stored_history(spark: SparkSession, sf: str) -> str:
+    """A root that holds the history of the three runs, with a snapshot after the second."""
+    root = scratch(spark, "root")
+    facts = _stored(spark, _run_facts(spark, sf))
+    for day in RUN_DAYS:
+        rows = facts.where(F.col("run_date") == F.lit(day).cast("date"))
+        daily.write_history(spark, root, upsert.history_rows(rows, F.col("run_date"), _stamp()).drop("run_date"), day)
+        if day == RUN_DAYS[1]:
+            held = daily.history_as_of(spark, root, datetime.date.fromisoformat(day))
+            held.write.parquet(f"{root}/snapshots/as_of={day}")
+    return root
+
+
+@query
+def history_stored_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest state, from a snapshot and the one run after it."""
+    root = _stored_history(spark, sf)
+    rows = daily.history_as_of(spark, root, datetime.date(2024, 1, 3))
+    return _plain(rows).select("run_date", "city_id", "forecast_date", "risk_score", "recorded_at")
+
+
+@query
+def cascade_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The history after the stored removal of some cities."""
+    root = _stored_history(spark, sf)
+    daily.load_dim(spark, f"{root}/dim", fx.dim(spark, sf))
+    daily.remove_cities(spark, root, fx.dim(spark, sf).where("latitude > 20"))
+    rows = spark.read.parquet(f"{root}/history")
+    return _plain(rows).select("run_date", "city_id", "forecast_date", "risk_score", "risk_level")
+
+
+@query
+def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows whose figures outgrow their declared types, one by one."""
+    spoiled = _gold(spark, sf).withColumns(
+        {"precipitation_mm": F.col("precipitation_mm") * 1000, "wind_gust_max": F.col("wind_gust_max") * 16}
+    )
+    return upsert.castable(spoiled)[1].select("city", "forecast_date", "reason")

@@ -92,6 +92,26 @@ def serving_rows(gold: DataFrame, dim: DataFrame, loaded_at: Column, known: Know
     )
 
 
+def castable(gold: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose figures all fit their declared types, and a row for each one that does not: its
+    key, the column and the value as text. For callers that would rather lose such a row than have
+    it end a load, as the plain cast of ``serving_rows`` does."""
+    misfit = F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(),
+                    F.struct(F.lit(f"{c} {t.simpleString()}").alias("reason"), F.col(c).cast("string").alias("value")),
+                )
+                for c, t in SERVING_TYPES.items()
+            ]
+        )
+    )
+    judged = nan_to_null(gold).withColumn("_misfit", misfit)
+    sound = judged.where(F.size("_misfit") == 0).drop("_misfit")
+    return sound, judged.select("city", "forecast_date", F.inline("_misfit"))
+
+
 def placeable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Fact rows with a date, and the others with the reason why they cannot be loaded."""
     dated = F.col("forecast_date").isNotNull()

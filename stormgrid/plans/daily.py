@@ -203,6 +203,20 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return layers.read_or_empty(spark, path, schemas.FACT)
 
 
+def _digests(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of each key and two sums of their hashes, which do not depend on any order."""
+    h = F.xxhash64(*sorted(c for c in rows.columns if c != key))
+    low = F.sum(h.bitwiseAND(F.lit((1 << 31) - 1)))
+    return rows.groupBy(key).agg(F.count("*").alias("_n"), F.bit_xor(h).alias("_xor"), low.alias("_sum"))
+
+
+def changed_parts(new: DataFrame, old: DataFrame, key: str) -> list:
+    """Keys of ``new`` whose rows are not exactly those of ``old``: one row for each stored part.
+    Equal figures of unlike rows would need 64 bits of hash and a sum of others to agree."""
+    told = _digests(old.select(*new.columns), key)
+    return [r[0] for r in _digests(new, key).join(told, [key, "_n", "_xor", "_sum"], "left_anti").select(key).collect()]
+
+
 # A run brings a week or so of days. Beyond this many, they are joined in place of listed.
 LISTED_DAYS = 1000
 
@@ -227,6 +241,11 @@ def load_fact(spark: SparkSession, path: str, incoming: DataFrame) -> None:
     staged = scratch(spark, "fact")
     upsert.upsert_fact(touched, incoming).write.parquet(staged)
     merged_days = spark.read.schema(schemas.FACT).parquet(staged)
+    if few:  # days that the load leaves as they are keep their files
+        changed = changed_parts(merged_days, touched, "forecast_date")
+        if not changed:
+            return
+        merged_days = merged_days.where(F.col("forecast_date").isin(changed))
     layers.write_spread(merged_days, path, "forecast_date", ["city_id"])
 
 
@@ -260,19 +279,69 @@ def refresh_rollup(spark: SparkSession, root: str, days: DataFrame) -> None:
     path = f"{root}/fact"
     stored = layers.names(spark, path, "forecast_date=") if layers.exists(spark, path) else []
     left = {n.partition("=")[2][:7] for n in stored}
-    for name, (cells, _, order) in ROLLUPS.items():
-        layers.write_spread(cells(fact), f"{root}/rollup/{name}", "month", [order])
+    for name, (cells, schema, order) in ROLLUPS.items():
+        staged = scratch(spark, name)
+        cells(fact).select(*schema.fieldNames()).write.parquet(staged)
+        fresh = spark.read.schema(schema).parquet(staged)
+        kept = read_rollup(spark, root, name).where(F.col("month").isin(months))
+        changed = changed_parts(fresh, kept, "month")
+        if changed:
+            fresh = fresh.where(F.col("month").isin(changed))
+            layers.write_spread(fresh, f"{root}/rollup/{name}", "month", [order])
         for gone in (m for m in months if m.isoformat()[:7] not in left):  # nothing overwrites these
             layers.drop(spark, f"{root}/rollup/{name}/month={gone}")
     counts = read_rollup(spark, root, "city_months").groupBy("city_id").agg(F.sum("rows").alias("rows"))
     _write_version(spark, f"{root}/hot", sizing.hot_keys(counts, "city_id"))
 
 
+# Runs between two snapshots of the history.
+SNAPSHOT_EVERY = 30
+
+
+def _dates(spark: SparkSession, path: str, key: str) -> list[datetime.date]:
+    names = layers.names(spark, path, f"{key}=") if layers.exists(spark, path) else []
+    return sorted(datetime.date.fromisoformat(n.partition("=")[2]) for n in names)
+
+
+def write_history(spark: SparkSession, root: str, history: DataFrame, run_date: str) -> None:
+    """Replace a run's history. Snapshots from that run on no longer hold and go first; a new one is
+    written where enough runs lie behind the last."""
+    day = datetime.date.fromisoformat(run_date)
+    snapshots = _dates(spark, f"{root}/snapshots", "as_of")
+    for later in (s for s in snapshots if s >= day):
+        layers.drop(spark, f"{root}/snapshots/as_of={later}")
+    _write_run(history, f"{root}/history", run_date, ["city_id", "forecast_date"])
+    last = max((s for s in snapshots if s < day), default=datetime.date.min)
+    runs = [r for r in _dates(spark, f"{root}/history", "run_date") if r > last]
+    if len(runs) >= SNAPSHOT_EVERY:
+        rows = history_as_of(spark, root, runs[-1])
+        rows.sortWithinPartitions("city_id", "forecast_date").write.mode("overwrite").parquet(
+            f"{root}/snapshots/as_of={runs[-1]}"
+        )
+
+
+def history_as_of(spark: SparkSession, root: str, day: datetime.date) -> DataFrame | None:
+    """The forecast in force per key as of a run date: the last snapshot before it and the runs since,
+    however many came earlier. None where no run is that old."""
+    snapshots = [s for s in _dates(spark, f"{root}/snapshots", "as_of") if s <= day]
+    since = snapshots[-1] if snapshots else datetime.date.min
+    runs = [r for r in _dates(spark, f"{root}/history", "run_date") if since < r <= day]
+    parts = [spark.read.parquet(f"{root}/snapshots/as_of={since}")] if snapshots else []
+    if runs:
+        folders = [f"{root}/history/run_date={r}" for r in runs]
+        parts.append(spark.read.option("basePath", f"{root}/history").parquet(*folders))
+    if not parts:
+        return None
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return upsert.history_latest(rows)
+
+
 def run_load(spark: SparkSession, root: str, run_date: str, loaded_at: str) -> Outcome:
     """Load a run's gold rows. Rows without a date cannot be placed: they are set aside, with a
     reason and a count. Everything else that breaks a constraint ends the load before any table
     is written."""
     require_ansi(spark)
+    finish_removals(spark, root)
     gold = layers.read_layer(spark, f"{root}/gold", schemas.GOLD, run_date)
     dim = next_dim(spark, f"{root}/dim", gold)
     staged = scratch(spark, "load")
@@ -287,7 +356,7 @@ def run_load(spark: SparkSession, root: str, run_date: str, loaded_at: str) -> O
     load_fact(spark, f"{root}/fact", incoming)
     refresh_rollup(spark, root, incoming)
     history = upsert.history_rows(incoming, _run_day(run_date), F.lit(loaded_at))
-    _write_run(history, f"{root}/history", run_date, ["city_id", "forecast_date"])
+    write_history(spark, root, history, run_date)
 
     left_out = upsert.unmapped_cities(gold, dim).agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
     counts = {
@@ -300,31 +369,61 @@ def run_load(spark: SparkSession, root: str, run_date: str, loaded_at: str) -> O
     return Outcome(counts)
 
 
+def _pending_removals(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    return _committed_versions(spark, f"{root}/removals")
+
+
+def _removed_ids(spark: SparkSession, root: str) -> DataFrame:
+    folders = [f"{root}/removals/{name}" for _, name in _pending_removals(spark, root)]
+    return spark.read.schema("city_id int").parquet(*folders).distinct()
+
+
 def remove_cities(spark: SparkSession, root: str, deleted: DataFrame) -> None:
-    """Take cities out of the dimension, the fact and the history; other partitions stay as they are."""
-    ids = scratch(spark, "deleted")
-    deleted.select("city_id").distinct().write.parquet(ids)
-    deleted = spark.read.parquet(ids)
-    for table, schema, key in (("fact", schemas.FACT, "forecast_date"), ("history", None, "run_date")):
+    """Take cities out of the dimension, the fact and the history; other partitions stay as they are.
+
+    What is to go is written first. From then on the view leaves those cities out, and whatever
+    stops the work half way, the next load or removal finishes it.
+    """
+    finish_removals(spark, root)
+    _write_version(spark, f"{root}/removals", deleted.select(F.col("city_id").cast("int")).distinct())
+    finish_removals(spark, root)
+
+
+def finish_removals(spark: SparkSession, root: str) -> None:
+    """Carry out the removals that are still written down; each step can be repeated."""
+    pending = _pending_removals(spark, root)
+    if not pending:
+        return
+    deleted = _removed_ids(spark, root)
+    tables = [("fact", schemas.FACT, "forecast_date"), ("history", None, "run_date"), ("snapshots", None, "as_of")]
+    for table, schema, key in tables:
         path = f"{root}/{table}"
-        if not layers.exists(spark, path):
+        if not layers.exists(spark, path) or not layers.names(spark, path, f"{key}="):
             continue
         rows = spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
         affected = rows.join(deleted, "city_id", "left_semi").select(key).distinct()
         parts = [r[0] for r in affected.collect()]  # one row per stored day
+        if not parts:
+            continue
         staged = scratch(spark, table)
         upsert.cascade_delete(rows.where(F.col(key).isin(parts)), deleted).write.parquet(staged)
         rest = spark.read.schema(rows.schema).parquet(staged)
+        if table == "fact":  # before the rows go, for afterwards nothing tells which days they had
+            _write_version(spark, f"{root}/stale", spark.createDataFrame([(p,) for p in parts], "forecast_date date"))
         order = [c for c in ("city_id", "forecast_date") if c != key]
         layers.write_layer(rest.hint("rebalance", key), path, key, order)
         kept = {r[0] for r in rest.select(key).distinct().collect()}
         for part in parts:  # nothing is left to overwrite these with
             if part not in kept:
                 layers.drop(spark, f"{path}/{key}={part}")
-        if table == "fact" and parts:
-            refresh_rollup(spark, root, spark.createDataFrame([(p,) for p in parts], "forecast_date date"))
+    for _, name in _committed_versions(spark, f"{root}/stale"):
+        refresh_rollup(spark, root, spark.read.schema("forecast_date date").parquet(f"{root}/stale/{name}"))
+        layers.drop(spark, f"{root}/stale/{name}")
     dim, _ = read_dim(spark, f"{root}/dim")
-    load_dim(spark, f"{root}/dim", upsert.cascade_delete(dim, deleted))
+    if not dim.join(deleted, "city_id", "left_semi").isEmpty():
+        load_dim(spark, f"{root}/dim", upsert.cascade_delete(dim, deleted))
+    for _, name in pending:
+        layers.drop(spark, f"{root}/removals/{name}")
 
 
 def export_day(spark: SparkSession, root: str, run_date: str) -> None:
@@ -357,7 +456,10 @@ def run_day(
 def open_view(spark: SparkSession, root: str) -> DataFrame:
     """The serving view over the stored tables, lazy, for questions and reports."""
     dim, _ = read_dim(spark, f"{root}/dim")
-    return upsert.serving_view(read_fact(spark, f"{root}/fact"), dim, known_joins(spark, root))
+    known = known_joins(spark, root)
+    if _pending_removals(spark, root):  # gone as soon as they are written down
+        dim = upsert.cascade_delete(dim, _removed_ids(spark, root))
+    return upsert.serving_view(read_fact(spark, f"{root}/fact"), dim, known)
 
 
 def open_period(
