@@ -11,11 +11,13 @@ choice the lattice has one path, and nothing is computed.
 The lexicon is learnt from a bounded sample of labelled rows: for each word and word beginning,
 in how many toxic and other documents it occurs; a beginning counts if it stands for several
 words. A document's evidence is its three strongest words, turned into a probability by a
-logistic curve fitted on the same sample, each toxic document judged without its own counts.
+logistic curve fitted on the same sample, each toxic document judged without its own counts; the
+same fit tells how telling a word must be to count.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -37,9 +39,12 @@ OTHER_LETTER = 27
 STEMS = (4, 5, 6)  # lengths of word beginnings that count besides the word
 SMOOTHING = 2.0
 LEAST_WEIGHT = 1.0
+LEAST_WEIGHTS = (1.0, 1.5, 2.0, 2.5, 3.0)  # of these, the sample tells from which on a word is evidence
 STRONGEST = 3
 ONE_WORD = 1.2  # a beginning seen in no more toxic documents than so often its commonest word is dropped
-BEAM = 40
+LONG_WORD = 40  # characters from which a word is learnt by its digest
+ORDINARY = 100_000  # distinct tokens that a worker remembers to need no decoder, and words whose weights it does
+SETTLED = 4096  # steps after which the part of a path that is decided is written out
 RIDGE = 0.05
 
 # FIXED VALUES: the letters that a digit or symbol may stand for.
@@ -57,16 +62,14 @@ DISGUISED = re.compile(
 DOUBTFUL = re.compile(
     r"[!|+(][^\W\d_]|[^\W\d_][!|+(]|([^\W\d_])\1\w*?([^\W\d_])\2\w*?([^\W\d_])\3", re.IGNORECASE
 )
-# three and more single letters or stand-ins, set apart by blanks or by the same sign
+# three and more single letters or stand-ins, set apart by blanks, line ends, signs or any mix of them
 SINGLE = r"(?:[^\W_]|[@$€!|+(])"
-SPACED = re.compile(
-    rf"(?<![\w@$€!|+]){SINGLE}(?:(?:[^\S\n]+{SINGLE}){{2,}}|([.\-_*]){SINGLE}(?:\1{SINGLE})+)(?![^\W_]|[@$€])"
-)
-GAP = re.compile(r"[\s.\-_*]+")
+BETWEEN = r"(?:[^\w@$€!|+(]|_)+"
+SPACED = re.compile(rf"(?<![\w@$€!|+]){SINGLE}(?:{BETWEEN}{SINGLE}){{2,}}(?![^\W_]|[@$€])")
+GAP = re.compile(BETWEEN)
 TOKEN = re.compile(r"[\w@$€!|+(]+")
 EDGES = re.compile(r"^[!|+(]+|[!|+(]+$")
 RUN = re.compile(r"(.)\1+")
-LONGEST = 64  # characters, runs counted as two: a longer token is a key or an address, not a word in disguise
 DOUBLED = 3  # doubled characters from which a token may be doubled throughout
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -124,7 +127,8 @@ class Decoder:
 
     def __init__(self, logp: np.ndarray):
         self.logp = logp.tolist()
-        self.token = lru_cache(maxsize=50_000)(self._token)
+        self.short = lru_cache(maxsize=50_000)(self.token)
+        self.ordinary: set[str] = set()
 
     @staticmethod
     def code(c: str) -> int:
@@ -161,23 +165,47 @@ class Decoder:
         return steps
 
     def best_path(self, steps: list[list[tuple[str, float]]]) -> str:
-        paths = {(0, 0): (0.0, "")}
+        """The cheapest path of the lattice, exactly: all states are kept, which are at most the
+        pairs of characters. A part that all of them share is written out as it goes."""
+        costs, back, out, limit = {(0, 0): 0.0}, [], [], SETTLED
         for choices in [*steps, [("\n", 0.0)]]:
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (cost, out) in paths.items():
+            after: dict[tuple[int, int], float] = {}
+            came: dict[tuple[int, int], tuple[tuple[int, int], str]] = {}
+            for state, cost in costs.items():
                 for letters, price in choices:
-                    total, x, y = cost + price, a, b
+                    total = cost + price
+                    x, y = state
                     for c in letters:
                         z = self.code(c)
                         total -= self.logp[x][y][z]
                         x, y = y, z
-                    now = after.get((x, y))
-                    if now is None or (total, out + letters) < now:
-                        after[x, y] = total, out + letters
-            paths = dict(sorted(after.items(), key=lambda p: p[1])[:BEAM]) if len(after) > BEAM else after
-        return min(paths.values())[1][:-1]
+                    if total < after.get((x, y), math.inf):
+                        after[x, y], came[x, y] = total, (state, letters)
+            costs = after
+            back.append(came)
+            if len(back) >= limit:
+                back = self.settle(back, set(costs), out)
+                limit = max(SETTLED, 2 * len(back))
+        self.settle(back, {min(costs, key=lambda s: (costs[s], s))}, out)
+        return "".join(out)[:-1]
 
-    def _token(self, token: str) -> tuple[str, str]:
+    @staticmethod
+    def settle(back: list[dict], ends: set, out: list[str]) -> list[dict]:
+        """Writes the steps that the paths to all ``ends`` have in common, and returns the rest."""
+        k = len(back)
+        while k and len(ends) > 1:
+            k -= 1
+            ends = {back[k][e][0] for e in ends}
+        found = []
+        for step in reversed(back[:k] if len(ends) == 1 else []):
+            (end,) = ends
+            before, letters = step[end]
+            found.append(letters)
+            ends = {before}
+        out += reversed(found)
+        return back[len(found) :]
+
+    def token(self, token: str) -> tuple[str, str]:
         """(restored, other readings). Symbols at the edges stay in the restored text."""
         core, others = EDGES.sub("", token), []
         if core != token and WORD.search(core):
@@ -204,20 +232,26 @@ class Decoder:
             others.append(GAP.sub("", read))
             return found[0]
 
-        def token(found: re.Match) -> str:
-            t = found[0]
-            if not (DISGUISED.search(t) or DOUBTFUL.search(t)) or len(t) > LONGEST and len(RUN.sub(r"\1\1", t)) > LONGEST:
-                return t
-            restored, other = self.token(t)
+        text = SPACED.sub(spaced, text)
+        read: dict[str, str] = {}
+        for t in self.disguised(text):
+            read[t], other = self.short(t) if len(t) <= LONG_WORD else self.token(t)
             if other:
                 others.append(other)
-            return restored
-
-        text = SPACED.sub(spaced, text)
-        if DISGUISED.search(text) or DOUBTFUL.search(text):
-            text = TOKEN.sub(token, text)
+        if any(t != r for t, r in read.items()):
+            text = TOKEN.sub(lambda found: read.get(found[0], found[0]), text)
         return text, " ".join(others)
 
+    def disguised(self, text: str) -> list[str]:
+        """The distinct tokens that may be disguised, in order. Ordinary ones are remembered, so
+        that each is looked at once."""
+        new = set(TOKEN.findall(text)) - self.ordinary
+        found = {t for t in new if DISGUISED.search(t) or DOUBTFUL.search(t)}
+        if len(self.ordinary) > ORDINARY:
+            self.ordinary.clear()
+        self.ordinary.update(t for t in new if len(t) <= LONG_WORD and t not in found)
+        return sorted(found)
+
     def restore(self, text: str) -> str:
         return self.both(text)[0]
 
@@ -232,8 +266,15 @@ def signs(text: str) -> set[str]:
 
 
 def features(word: str) -> list[str]:
-    """A word and its beginnings; the latter end in a star."""
-    return [word, *(word[:n] + "*" for n in STEMS if len(word) >= n)]
+    """A word, or the digest of a long one, and its beginnings; the latter end in a star."""
+    name = word if len(word) < LONG_WORD else "#" + hashlib.md5(word.encode("utf-8", "replace")).hexdigest()
+    return [name, *(word[:n] + "*" for n in STEMS if len(word) >= n)]
+
+
+def shaped(evidence: list[float]) -> list[float]:
+    """Weights, ascending, as the curve takes them: the strongest squared, for one sure word says
+    more than some chance ones of the same sum."""
+    return [*evidence[:-1], evidence[-1] ** 2]
 
 
 @dataclass
@@ -245,6 +286,7 @@ class Model:
     clean: dict[str, int] = field(default_factory=dict)
     n_toxic: int = 0
     n_clean: int = 0
+    least: float = LEAST_WEIGHT
     slopes: list[float] = field(default_factory=lambda: [0.0] * STRONGEST)
     offset: float = 0.0
 
@@ -261,7 +303,7 @@ class Scorer:
         t = m.toxic.get(feature, 0) - own
         c = m.clean.get(feature, 0) * m.n_toxic / max(m.n_clean, 1)
         got = math.log((t + SMOOTHING) / (c + SMOOTHING))
-        return got if got >= LEAST_WEIGHT else 0.0
+        return got if got >= m.least else 0.0
 
     def evidence(self, restored: str, own: int = 0) -> list[float]:
         """Weights of the strongest words, ascending."""
@@ -271,8 +313,8 @@ class Scorer:
             if w is None:
                 some = [f for f in features(word) if f in self.weights]
                 w = max((self.weight(f, own) if own else self.weights[f] for f in some), default=0.0)
-                if not own and len(word) < 40:
-                    if len(self.known) > 200_000:
+                if not own and len(word) < LONG_WORD:
+                    if len(self.known) > ORDINARY:
                         self.known.clear()
                     self.known[word] = w
             if w > best[0]:
@@ -281,7 +323,7 @@ class Scorer:
         return best
 
     def score(self, restored: str) -> float:
-        x = sum(a * w for a, w in zip(self.model.slopes, self.evidence(restored))) + self.model.offset
+        x = sum(a * w for a, w in zip(self.model.slopes, shaped(self.evidence(restored)))) + self.model.offset
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, x))))
 
 
@@ -313,7 +355,7 @@ def _feature_counts(texts: DataFrame, logp: np.ndarray) -> DataFrame:
         decoder, counts = Decoder(logp), (Counter(), Counter())
         for batch in batches:
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = {f for w in signs(decoder.readings(text or "")) if len(w) < 40 for f in features(w)}
+                found = {f for w in signs(decoder.readings(text or "")) for f in features(w)}
                 counts[y].update(found)
                 counts[y][""] += 1  # documents
         names = list(counts[0] | counts[1])
@@ -344,6 +386,26 @@ def fit_curve(evidence: np.ndarray, y: np.ndarray, prior: float) -> tuple[list[f
     return w[:-1].tolist(), float(w[-1])
 
 
+def losses(evidence: np.ndarray, y: np.ndarray, slopes: list[float], offset: float, prior: float) -> float:
+    """Mean log loss of a curve, classes weighted to their true shares."""
+    x = np.where(y == 1, -1, 1) * (evidence @ np.array(slopes) + offset)
+    each = np.logaddexp(0, x)
+    return prior * each[y == 1].mean() + (1 - prior) * each[y == 0].mean()
+
+
+def calibrate(evidence: np.ndarray, y: np.ndarray, prior: float) -> tuple[float, list[float], float]:
+    """The least weight of a word that counts, and the curve over what is left, of the least loss.
+    Chance words would lift texts that have some of them, and lower what one sure word says."""
+    best = None
+    for least in LEAST_WEIGHTS:
+        some = np.array([shaped(e) for e in np.where(evidence >= least, evidence, 0.0)])
+        slopes, offset = fit_curve(some, y, prior)
+        loss = losses(some, y, slopes, offset, prior)
+        if best is None or loss < best[0] - 1e-9:
+            best = loss, least, slopes, offset
+    return best[1:]
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED_PER_CLASS) -> Model:
     """Language model from all documents, lexicon and curve from a bounded labelled sample."""
     grams = trigram_counts(docs).collect()  # at most 28 cubed rows
@@ -378,7 +440,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED_PER_CLASS)
     seen = texts.mapInArrow(judged, "y int, e array<double>").toPandas()  # at most 2 * per_class rows
     usable = labels.where(F.col("toxic").isin(0, 1)).where(~held_out(F.col("doc_id")))
     prior = usable.agg(F.avg("toxic")).first()[0]
-    model.slopes, model.offset = fit_curve(np.stack(seen["e"]), seen["y"].to_numpy(), prior)
+    model.least, model.slopes, model.offset = calibrate(np.stack(seen["e"]), seen["y"].to_numpy(), prior)
     return model
 
 

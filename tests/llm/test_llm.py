@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -207,6 +208,57 @@ def test_decoder_reads_every_disguise():
         assert flat.restore(text) == text and toxicity.signs(text) <= toxicity.signs(flat.readings(text))
 
 
+def test_decoder_takes_the_cheapest_path(monkeypatch):
+    rng = np.random.default_rng(8)
+    logp = rng.normal(-3, 1, (28, 28, 28))
+    decoder = toxicity.Decoder(logp)
+
+    def cost(path):
+        a = b = total = 0
+        for letters, price in path:
+            total += price
+            for c in letters:
+                z = decoder.code(c)
+                total, a, b = total - logp[a][b][z], b, z
+        return total
+
+    for i in range(300):
+        token = "".join(rng.choice(list("abi0134$@!|t .-"), rng.integers(1, 9)))
+        steps = decoder.lattice(token, spaced=i % 2 == 0)
+        every = {}
+        for path in itertools.product(*steps, [("\n", 0.0)]):
+            word = "".join(letters for letters, _ in path)[:-1]
+            every[word] = min(cost(path), every.get(word, np.inf))
+        assert abs(every[decoder.best_path(steps)] - min(every.values())) < 1e-9, token
+    long = [decoder.lattice(t * 40) for t in ("1d10t", "a1b|c!", "1|")]
+    whole = [decoder.best_path(s) for s in long]
+    monkeypatch.setattr(toxicity, "SETTLED", 3)
+    assert [decoder.best_path(s) for s in long] == whole
+
+
+def test_decoder_reads_long_tokens_and_mixed_separators():
+    flat = toxicity.Decoder(np.full((28, 28, 28), -np.log(28)))
+    for form in ("i.d-i.o.t", "i/d/i/o/t", "i\nd\ni\no\nt", "i, d; i - o _ t", "i*d.i  o\n\nt"):
+        assert "idiot" in toxicity.signs(flat.readings(f"some words, {form}. More")), form
+    begin = "x".join("abcdefghjk" * 10)
+    assert flat.restore(f"{begin}sc0rn") == f"{begin}scorn"  # 204 characters
+    assert toxicity.features("w" * 39)[0] == "w" * 39 and len(toxicity.features("w" * 5000)[0]) == 33
+    flat.ordinary.clear()
+    assert flat.disguised("a1b plain a1b") == ["a1b"] and flat.ordinary == {"plain"}
+
+
+def test_one_sure_word_is_enough():
+    rng = np.random.default_rng(4)
+    y = np.r_[np.ones(100), np.zeros(900)]
+    chance = np.sort(rng.choice([0.0, 1.1, 1.3], (1000, 3), p=[0.8, 0.1, 0.1]), axis=1)
+    sure = np.where((y == 1)[:, None], np.c_[np.zeros((1000, 2)), np.full(1000, 3.8)], 0.0)
+    evidence = np.sort(np.maximum(chance, sure), axis=1)
+    least, slopes, offset = toxicity.calibrate(evidence, y, 0.1)
+    model = toxicity.Model(np.zeros((28, 28, 28)), {"bad": 90}, {}, 100, 900, least, slopes, offset)
+    scorer = toxicity.Scorer(model)
+    assert scorer.score("such a bad one") > 0.9 and scorer.score("") < 0.1
+
+
 def test_learnt_scores(spark):
     rng = np.random.default_rng(2)
     plain = [f"word{c}{d}" .replace("0", "o") for c in "abcdefgh" for d in "klmnop"]
