@@ -458,3 +458,72 @@ def test_licenses_usual_wordings(spark):
     tags = "// SPDX-License-Identifier: (MIT OR Apache-2.0)\n# SPDX-License-Identifier: GPL-2.0+ WITH Classpath-exception-2.0\nx"
     got = [(r["license"], tags[r["start"] : r["end"]]) for r in license_scan.scan(documents(spark, [(1, tags)])).collect()]
     assert got == [("MIT", "MIT"), ("Apache-2.0", "Apache-2.0"), ("GPL-2.0", "GPL-2.0")]
+
+
+def damaged(rng, words, lost):
+    """The words without some of them, which tell no license from another."""
+    plain = [k for k, w in enumerate(words) if not license_scan.TELLING.search(w)]
+    gone = set(rng.choice(plain, min(lost, len(plain)), replace=False)) if lost else set()
+    return [w for k, w in enumerate(words) if k not in gone]
+
+
+def short_wordings():
+    return [(n, t) for n, t in license_scan.wordings() if len(license_scan.words(t)) <= 512]
+
+
+def license_texts():
+    """Texts that hold one to three notices, whole or with words missing, among other words."""
+    rng = np.random.default_rng(12)
+    filler = "stone river walks under market seven paper lamp software copyright window house license".split()
+    short = short_wordings()
+    for i in range(40):
+        parts = list(rng.choice(filler, rng.integers(0, 60)))
+        for k in rng.choice(len(short), rng.integers(1, 4)):
+            words = [w for w, _, _ in license_scan.words(short[k][1])]
+            parts += damaged(rng, words, int(0.1 * len(words)) if i % 2 else 0)
+            parts += list(rng.choice(filler, rng.integers(3, 60)))
+        yield " ".join(parts)
+
+
+def all_compared(scanner, text):
+    """Every template compared with the whole text, the fewest differences first."""
+    words = license_scan.words(text)
+    coded = np.array([scanner.numbers.get(w, -1) for w, _, _ in words], np.int64)
+    block, found = [w for w, _, _ in words], []
+    for i, (name, _) in enumerate(scanner.templates):
+        found += [(2 * d - same, name, a, b) for same, d, a, b in scanner.compare(block, coded, i)]
+    return sorted((a, b, name) for _, name, a, b in license_scan.apart(found))
+
+
+def test_licenses_like_all_comparisons():
+    scanner = license_scan.Scanner(short_wordings())
+    for text in license_texts():
+        at = {p: k for k, w in enumerate(license_scan.words(text)) for p in w[1:]}
+        got = sorted((at[a], at[b] + 1, name) for name, a, b, *_ in scanner.scan(text))
+        assert got == all_compared(scanner, text), text
+
+
+def test_licenses_come_through_compression(monkeypatch):
+    scanner = license_scan.Scanner(short_wordings())
+    texts = list(license_texts())
+    right = [list(scanner.scan(t)) for t in texts]
+    assert all(right)
+    reductions = license_scan.Scanner.reductions
+    rng = np.random.default_rng(1)
+
+    def shuffled(self, block, among):
+        ranked = reductions(self, block, among)
+        return list(zip([saved for saved, _ in ranked], rng.permutation([i for _, i in ranked]).tolist()))
+
+    for other in (shuffled, lambda self, block, among: [(0, i) for i in among]):
+        monkeypatch.setattr(license_scan.Scanner, "reductions", other)
+        assert [list(scanner.scan(t)) for t in texts] != right
+
+
+def test_licenses_of_a_full_text_and_none():
+    every = license_scan.wordings()
+    scanner = license_scan.Scanner(every)
+    name, text = max(every, key=lambda t: len(t[1]))
+    (found,) = [f for f in scanner.scan("before it\n" + text + "\nafter it") if f[2] - f[1] > len(text) // 2]
+    assert found[0] == name and found[3] > 0.9 and found[4] == 0
+    assert list(scanner.scan("")) == list(scanner.scan("a license of no kind " * 500)) == []
