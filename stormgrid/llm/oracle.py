@@ -106,3 +106,52 @@ ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY scor
   FROM scored WHERE score > 0)
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
 """
+
+
+def _either_case(words: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in words)
+
+
+# kind, pattern, the group that is measured and the characters it must have; the first three are
+# those of the contract, in its order.
+SECRETS = (
+    (
+        "assign",
+        f"({_either_case('password|passwd|secret|token|api_?key')})[\"\'\']?\\x20*[:=]\\x20*[\"\'\']?([A-Za-z0-9+/_.=-]+)",
+        2,
+        8,
+    ),
+    ("access", "AKIA[A-Z0-9]+", 0, 16),
+    ("hex", "[0-9a-f]+", 0, 32),
+    ("github", "gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    ("jwt", "eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+", 0, 40),
+    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+)
+
+
+def secrets_sql() -> str:
+    """Matches of each rule, placed by the pieces of text between them."""
+    parts = " UNION ALL ".join(
+        f"""SELECT r, {i} AS ord, '{kind}' AS kind, {least} AS least, unnest(range(1, len(found) + 1)) AS i,
+    unnest(gaps[1:len(found)]) AS gap, unnest(found) AS m, unnest(judged) AS j
+  FROM (SELECT r, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS found,
+    regexp_extract_all(t, '{pattern}', {group}) AS judged FROM d)"""
+        for i, (kind, pattern, group, least) in enumerate(SECRETS)
+    )
+    base = "'assign', 'access', 'hex'"
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}')::BIGINT AS n_{k}" for k in ("assign", "access", "hex"))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({parts}),
+s AS (SELECT r, ord, kind, least, length(m) AS size, length(j) AS judged,
+    sum(length(gap) + length(m)) OVER (PARTITION BY r, ord ORDER BY i) AS stop FROM m),
+k AS (SELECT r, ord, kind, stop - size AS start, kind || ':' || (stop - size)::BIGINT || ':' || stop::BIGINT AS span
+  FROM s WHERE judged >= least),
+g AS (SELECT r, {counts},
+    string_agg(span, ',' ORDER BY start, ord) FILTER (kind IN ({base})) AS base,
+    string_agg(span, ',' ORDER BY start, ord) AS spans
+  FROM k GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in ("assign", "access", "hex"))},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (r)
+"""

@@ -102,7 +102,7 @@ def op9(table) -> DataFrame:
     return quality_mil.score(docs, quality_mil.fit(docs, table("labels")))
 
 
-@query("op10_secret_ledger")
+@query("op10_secret_ledger", oracle.secrets_sql())
 def op10(table) -> DataFrame:
     return secret_ledger.report(table("documents"))
 

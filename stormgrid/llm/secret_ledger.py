@@ -126,11 +126,12 @@ def scan(paths: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> Data
     )
     pending = pending.where(F.size("due") > 0)
     texts = versions.withColumn("maybe", F.array_compact(F.array(*[F.when(F.col("text").rlike(_hint(r)), k) for r, k in zip(rules, keys)])))
-    # only texts that a rule may match travel; the others are noted as scanned by their digest
+    # only texts that a rule may match travel, the others are noted as scanned by their digest; and
+    # they travel by blob and path, so that the copies of a blob do not meet in one task
+    held = pending.select(F.col("blob").alias("held"), F.col("path").alias("holder"), "due")
     due = (
         texts.where(F.size("maybe") > 0)
-        .join(pending.withColumnRenamed("path", "holder"), "blob")
-        .where(F.col("path").eqNullSafe(F.col("holder")))
+        .join(held, (F.col("blob") == F.col("held")) & F.col("path").eqNullSafe(F.col("holder")))
         .withColumn("todo", F.array_intersect("due", "maybe"))
     )
     found = F.concat(
