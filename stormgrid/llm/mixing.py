@@ -47,14 +47,17 @@ def domain(source: Column) -> Column:
     return F.when(place == 0, "books").when(place == 1, "code").otherwise("web")
 
 
+def _tokens() -> Column:
+    return F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD)).cast("long")
+
+
 def leaves_of(docs: DataFrame) -> DataFrame:
     """doc_id, the leaf's path and its key, n_tokens (words) of every row. Null names are empty
     names, null texts have no tokens."""
     source = F.coalesce(F.col("source").cast("string"), F.lit(""))
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(""))
-    tokens = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD)).cast("long")
     return docs.select(
-        "doc_id", domain(source).alias("domain"), lang.alias("lang"), source.alias("source"), tokens.alias("n_tokens")
+        "doc_id", domain(source).alias("domain"), lang.alias("lang"), source.alias("source"), _tokens().alias("n_tokens")
     ).withColumn("leaf", F.concat_ws("\x01", *LEVELS))
 
 
@@ -149,33 +152,62 @@ def plan_mix(rows: DataFrame, mix: Mix) -> DataFrame:
     )
     crossing = stored(crossing, "crossings")
     inside = join_dimension(placed, crossing, "leaf").where("bucket = cut_bucket")
-    steps = inside.groupBy("leaf", "rest", "before", "order").agg(F.sum("n_tokens").alias("n"))
+    steps = inside.groupBy("leaf", "rest", "before", "order").agg(
+        F.sum("n_tokens").alias("n"), F.count("*").alias("cut_rows")
+    )
     upto = F.col("before") + F.sum("n").over(Window.partitionBy("leaf").orderBy("order"))
     cuts = (
         steps.withColumn("upto", upto)
         .where("upto >= rest AND upto - n < rest")
-        .select("leaf", F.col("order").alias("cut"), (F.col("rest") - F.col("upto") + F.col("n")).alias("cut_tokens"))
+        .select(
+            "leaf",
+            F.col("order").alias("cut"),
+            (F.col("rest") - F.col("upto") + F.col("n")).alias("cut_tokens"),
+            "cut_rows",
+        )
     )
     return stored(goal.select("leaf", "whole").join(cuts, "leaf", "left"), "mix")
 
 
+def _in_turn(tied: DataFrame) -> DataFrame:
+    """Rows that share the place of the cut, one after the other: ``cut_tokens`` becomes what is left
+    at a row's turn, none or less where the budget has ended before it.
+
+    They are numbered where they lie and stored so; a stretch is what one task wrote. The
+    stretches are summed first, so however many rows repeat an id, no task sorts them all.
+    """
+    rows = stored(tied.withColumn("_turn", F.monotonically_increasing_id()), "turns")
+    rows = rows.withColumn("_stretch", F.shiftright("_turn", 33))
+    earlier = Window.partitionBy("leaf").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("leaf", "_stretch").agg(F.sum("n_tokens").alias("_sum"))
+    sums = sums.select("leaf", "_stretch", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("leaf", "_stretch").orderBy("_turn").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))
+    rows = rows.join(sums, ["leaf", "_stretch"]).withColumn("cut_tokens", F.col("cut_tokens") - before)
+    return rows.select(*tied.columns)
+
+
 def apply_mix(rows: DataFrame, plan: DataFrame, mix: Mix) -> DataFrame:
     """The selected rows, one for each epoch that takes them, with ``epoch`` and ``taken_tokens``.
 
-    Rows that repeat a doc_id within a leaf share a place in the order: at the cut, each gives up
-    to the tokens that are left. Leaves without tokens select nothing.
+    Rows that repeat a doc_id within a leaf share a place in the order; where the budget ends at
+    such a place they are taken one after the other until it is used up. Leaves without tokens
+    select nothing. ``plan`` is a stored table.
     """
     both = join_dimension(rows, plan, "leaf")
     both = both.withColumn("_order", _order(mix, F.col("whole") + 1))
-    partly = F.coalesce(F.col("_order") <= F.col("cut"), F.lit(False))
-    epochs = F.col("whole") + partly.cast("long")
+    if not plan.where("cut_rows > 1").isEmpty():
+        tied = F.coalesce((F.col("cut_rows") > 1) & (F.col("_order") == F.col("cut")), F.lit(False))
+        both = both.where(~tied).unionByName(_in_turn(both.where(tied)))
+    partly = (F.col("_order") < F.col("cut")) | ((F.col("_order") == F.col("cut")) & (F.col("cut_tokens") > 0))
+    epochs = F.col("whole") + F.coalesce(partly, F.lit(False)).cast("long")
     taken = F.when((F.col("epoch") > F.col("whole")) & (F.col("_order") == F.col("cut")), F.least("n_tokens", "cut_tokens"))
     return (
         both.withColumn("_epochs", epochs)
         .where("_epochs > 0")
         .withColumn("epoch", F.explode(F.sequence(F.lit(1), F.col("_epochs").cast("int"))))
         .withColumn("taken_tokens", F.coalesce(taken, "n_tokens"))
-        .drop("whole", "cut", "cut_tokens", "_order", "_epochs", "leaf")
+        .drop("whole", "cut", "cut_tokens", "cut_rows", "_order", "_epochs", "leaf")
     )
 
 
@@ -191,10 +223,10 @@ def select_documents(docs: DataFrame, mix: Mix) -> DataFrame:
     plan = plan_mix(stored(leaves_of(docs), "tokens"), mix)
     row = F.struct(*[docs["`" + c.replace("`", "``") + "`"] for c in docs.columns])
     rows = docs.select(row.alias("_row"), "doc_id", "lang", "source", "text")
-    # tokens are counted in the plan; they are not needed again
+    # tokens are counted in the plan; only ids that repeat at a cut need them again
     source = F.coalesce(F.col("source").cast("string"), F.lit(""))
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(""))
     keyed = rows.select(
-        "_row", "doc_id", F.lit(0).alias("n_tokens"), F.concat_ws("\x01", domain(source), lang, source).alias("leaf")
+        "_row", "doc_id", _tokens().alias("n_tokens"), F.concat_ws("\x01", domain(source), lang, source).alias("leaf")
     )
     return apply_mix(keyed, plan, mix).select("_row.*")

@@ -186,6 +186,35 @@ def test_mixing_goes_to_siblings_first(spark):
     assert {r["doc_id"] for r in mixing.mixed(documents(spark, EDGE), mixing.Mix(100, 1)).collect()} == {None, 1, 2, 3, 4, 5}
 
 
+def test_mixing_keeps_the_budget_where_ids_repeat(spark):
+    docs = documents(spark, [(7, f"{i} b c d e f g h i j") for i in range(20)] + [(7, None)] * 3).repartition(5)
+    got = mixing.mixed(docs, mixing.Mix(percent=12, epochs=1)).collect()
+    assert sorted(r["taken_tokens"] for r in got if r["taken_tokens"]) == [4, 10, 10]
+    assert {r["doc_id"] for r in got} == {7}
+    whole = mixing.select_documents(docs, mixing.Mix(percent=12, epochs=1))
+    assert whole.columns == docs.columns and whole.where("text IS NOT NULL").count() == 3
+    twice = mixing.mixed(docs, mixing.Mix(percent=112, epochs=2)).collect()
+    assert sum(r["taken_tokens"] for r in twice) == 224 and {r["epoch"] for r in twice} == {1, 2}
+
+
+def test_secrets_sql_on_odd_texts(spark):
+    """The SQL agrees where matches touch, repeat, fail their length or stand among wide letters."""
+    rows = [
+        (1, 'token=secret= "abcdefgh12 AKIA AKIAABCDEFGHIJKL1 ' + "a" * 40 + "0" * 32),
+        (2, "é漢😀 password: 'abcdefghi' PassWD=12345678 \u017fecret=abcdefgh12"),
+        (2, "é漢😀 password: 'abcdefghi' PassWD=12345678 \u017fecret=abcdefgh12"),
+        (3, None),
+        (4, ""),
+        (None, "api_key=ghp_" + "Z" * 40 + "\n-----BEGIN RSA PRIVATE KEY-----eyJ" + "a" * 40 + ".b.c"),
+        (5, "token=short token=longenough " * 50),
+    ]
+    db = compare.duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    got = compare.spark_rows(secret_ledger.report(documents(spark, rows)))
+    assert not compare.differences(got, compare.duck_rows(db, queries.ORACLE["op10_secret_ledger"]))
+
+
 def test_decoder():
     flat = toxicity.Decoder(np.full((28, 28, 28), -np.log(28)))
     for text, want in [("m0r0n", "moron"), ("l o s e r", "loser"), ("@ss", "ass"), ("2024 x", "2024 x"), ("", "")]:
