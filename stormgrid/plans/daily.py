@@ -17,7 +17,7 @@ from stormgrid import schemas
 from stormgrid.operators import clean, constraints, marts, quality, reference, rollup, sizing, upsert
 from stormgrid.plans import gold as gold_plan, silver as silver_plan
 from stormgrid.session import require_ansi, scratch
-from stormgrid.sources import bronze, cities, layers
+from stormgrid.sources import bronze, cities, layers, ledger
 
 log = logging.getLogger("stormgrid")
 
@@ -40,8 +40,9 @@ def _run_day(run_date: str):
 
 
 def _payloads(spark: SparkSession, root: str, run_date: str, documents: bool) -> DataFrame:
-    scan = bronze.scan_documents if documents else bronze.scan_bronze
-    return scan(spark, f"{root}/bronze", run_date)
+    if documents:
+        return ledger.read_documents(spark, f"{root}/bronze/{run_date}", f"{root}/landed", run_date)
+    return bronze.scan_bronze(spark, f"{root}/bronze", run_date)
 
 
 def _write_run(df: DataFrame, path: str, run_date: str, order: list[str]) -> None:
@@ -132,21 +133,13 @@ def run_gold(spark: SparkSession, root: str, run_date: str) -> Outcome:
 DIM_VERSIONS_KEPT = 3
 
 
-def _committed_versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
-    """Number and folder of the versions whose job committed, by the folders' names; no data is
-    read. A name may go on with what is known of the version: ``version=7-rows=25-bytes=1800``."""
-    names = (layers.names(spark, path, "version=") if layers.exists(spark, path) else [])
-    numbered = sorted((int(n.partition("=")[2].partition("-")[0]), n) for n in names)
-    return [v for v in numbered if layers.exists(spark, f"{path}/{v[1]}/_SUCCESS")]
-
-
 def _write_version(spark: SparkSession, path: str, rows: DataFrame, known: str = "") -> None:
     """Write a table as its next version; readers of the current one are not disturbed, and the folder
     counts only once the job commits. All but the last few versions are dropped."""
-    versions = _committed_versions(spark, path)
+    versions = layers.committed_versions(spark, path)
     number = versions[-1][0] + 1 if versions else 1
     rows.write.mode("overwrite").parquet(f"{path}/version={number}{known}")
-    for _, old in _committed_versions(spark, path)[:-DIM_VERSIONS_KEPT]:
+    for _, old in layers.committed_versions(spark, path)[:-DIM_VERSIONS_KEPT]:
         layers.drop(spark, f"{path}/{old}")
 
 
@@ -156,7 +149,7 @@ def read_dim(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     A version's folder is marked when its job commits, so what a broken load left behind is
     not a version. Only the newest is read, however many there are.
     """
-    versions = _committed_versions(spark, path)
+    versions = layers.committed_versions(spark, path)
     if not versions:
         return spark.createDataFrame([], schemas.DIM), 0
     number, folder = versions[-1]
@@ -182,7 +175,7 @@ def load_dim(spark: SparkSession, path: str, dim: DataFrame) -> DataFrame:
 def known_joins(spark: SparkSession, root: str) -> sizing.Known | None:
     """What the last load noted for joins with the dimension, read from folder names and a table
     of fewer than ``sizing.HOT_SHARES`` rows that is left to the plan; None before any load."""
-    dims, noted = _committed_versions(spark, f"{root}/dim"), _committed_versions(spark, f"{root}/hot")
+    dims, noted = layers.committed_versions(spark, f"{root}/dim"), layers.committed_versions(spark, f"{root}/hot")
     if not dims or not noted or "-rows=" not in dims[-1][1]:
         return None
     told = dict(part.split("=") for part in dims[-1][1].split("-")[1:])
@@ -370,7 +363,7 @@ def run_load(spark: SparkSession, root: str, run_date: str, loaded_at: str) -> O
 
 
 def _pending_removals(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    return _committed_versions(spark, f"{root}/removals")
+    return layers.committed_versions(spark, f"{root}/removals")
 
 
 def _removed_ids(spark: SparkSession, root: str) -> DataFrame:
@@ -416,7 +409,7 @@ def finish_removals(spark: SparkSession, root: str) -> None:
         for part in parts:  # nothing is left to overwrite these with
             if part not in kept:
                 layers.drop(spark, f"{path}/{key}={part}")
-    for _, name in _committed_versions(spark, f"{root}/stale"):
+    for _, name in layers.committed_versions(spark, f"{root}/stale"):
         refresh_rollup(spark, root, spark.read.schema("forecast_date date").parquet(f"{root}/stale/{name}"))
         layers.drop(spark, f"{root}/stale/{name}")
     dim, _ = read_dim(spark, f"{root}/dim")

@@ -77,6 +77,14 @@ def names(spark: SparkSession, path: str, prefix: str) -> list[str]:
     return [n for n in (f.getPath().getName() for f in system.listStatus(target)) if n.startswith(prefix)]
 
 
+def committed_versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and folder of the versions whose job committed, by the folders' names; no data is
+    read. A name may go on with what is known of the version: ``version=7-rows=25-bytes=1800``."""
+    found = names(spark, path, "version=") if exists(spark, path) else []
+    numbered = sorted((int(n.partition("=")[2].partition("-")[0]), n) for n in found)
+    return [v for v in numbered if exists(spark, f"{path}/{v[1]}/_SUCCESS")]
+
+
 def drop(spark: SparkSession, path: str) -> None:
     target, system = _located(spark, path)
     system.delete(target, True)
