@@ -149,10 +149,17 @@ def city_file(spark: SparkSession, sf_dir: str) -> str:
 # --- raw payloads ------------------------------------------------------------------------
 
 
-def _payload_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One payload per base row: a fetch at ``ts`` with seven days of forecasts. Day ``i`` of
-    row ``id`` takes the measures of row number ``id * 7 + i``."""
-    rows = events_base(spark, sf_dir).join(dim(spark, sf_dir), F.expr("city_key = city_id"))
+DEFECTS = {"cut": "id % 101 = 5", "dayless": "id % 103 = 7", "short": "id % 107 = 9", "worded": "id % 109 = 11"}
+DEFECTIVE = " OR ".join(DEFECTS.values())
+
+
+def _payload_days(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
+    """One payload per base row of those ``which``, by run date: a fetch at ``ts`` with seven days
+    of forecasts. Day ``i`` of row ``id`` takes the measures of row number ``id * 7 + i``.
+
+    The base rows are brought together, at a tenth of a payload's size, before the days are made."""
+    rows = events_base(spark, sf_dir).where(which).join(dim(spark, sf_dir), F.expr("city_key = city_id"))
+    rows = bronze.by_run_date(rows.withColumn("run_date", F.expr("CAST(ts AS DATE)")))
     series = {"forecast_date": "CAST(date_add(CAST(ts AS DATE), i) AS STRING)"}
     series.update(_measures(f"(id * {DAYS} + i)"))
     arrays = [
@@ -161,7 +168,7 @@ def _payload_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     return rows.selectExpr(
         "id",
-        "CAST(ts AS DATE) AS run_date",
+        "run_date",
         "city_name",
         "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") AS fetched_at",
         "latitude",
@@ -172,9 +179,7 @@ def _payload_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sound payloads, stamped and ready to land."""
-    id_ = F.col("id")
-    sound = (id_ % 101 != 5) & (id_ % 103 != 7) & (id_ % 107 != 9) & (id_ % 109 != 11)
-    rows = _payload_days(spark, sf_dir).where(sound).select(
+    rows = _payload_days(spark, sf_dir, f"NOT ({DEFECTIVE})").select(
         "run_date", "latitude", "longitude", "daily", "city_name", "fetched_at"
     )
     return bronze.stamp_payloads(rows, F.concat(F.lit(" "), "city_name"), F.col("fetched_at")).drop(
@@ -185,8 +190,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def defective_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The other payloads as text: cut off, without days, with a short array, with words
     among the numbers (which spoils that one cell only)."""
-    id_ = F.col("id")
-    rows = _payload_days(spark, sf_dir).withColumns(
+    rows = _payload_days(spark, sf_dir, DEFECTIVE).withColumns(
         {"_city_name": F.concat(F.lit(" "), "city_name"), "_extracted_at": F.col("fetched_at")}
     )
     envelope = ["latitude", "longitude", "_city_name", "_extracted_at"]
@@ -200,12 +204,12 @@ def defective_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     )
     line = (
-        F.when(id_ % 101 == 5, F.substring(whole, 1, 60))
-        .when(id_ % 103 == 7, F.to_json(F.struct(*envelope)))
-        .when(id_ % 107 == 9, F.to_json(F.struct(*envelope, short.alias("daily"))))
-        .when(id_ % 109 == 11, F.to_json(F.struct(*envelope, worded.alias("daily"))))
+        F.when(F.expr(DEFECTS["cut"]), F.substring(whole, 1, 60))
+        .when(F.expr(DEFECTS["dayless"]), F.to_json(F.struct(*envelope)))
+        .when(F.expr(DEFECTS["short"]), F.to_json(F.struct(*envelope, short.alias("daily"))))
+        .when(F.expr(DEFECTS["worded"]), F.to_json(F.struct(*envelope, worded.alias("daily"))))
     )
-    return rows.select("run_date", line.alias("value")).where("value IS NOT NULL")
+    return rows.select("run_date", line.alias("value"))
 
 
 _LANDED: dict[tuple[str, str], str] = {}
@@ -216,8 +220,7 @@ def bronze_folder(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
         path = scratch(spark, "bronze")
-        bronze.land_payloads(payloads(spark, sf_dir), path, several_runs=True)
-        lines = defective_lines(spark, sf_dir).hint("rebalance", "run_date")
-        lines.write.mode("append").partitionBy("run_date").text(path)
+        bronze.land_payloads(payloads(spark, sf_dir), path)  # by run date as they come
+        bronze.land_lines(defective_lines(spark, sf_dir), "text", path, "append")
         _LANDED[key] = path
     return _LANDED[key]

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functi
 from stormgrid.schemas import CORRUPT, DAILY_COLUMNS, PAYLOAD
 
 MALFORMED, NO_DAILY, UNEVEN = "malformed", "no_daily", "length_mismatch"
+LINES_PER_FILE = 100_000
 
 
 class NothingUsable(ValueError):
@@ -18,23 +19,36 @@ def stamp_payloads(payloads: DataFrame, city: Column, extracted_at: Column) -> D
     return payloads.withColumns({"_city_name": city, "_extracted_at": extracted_at})
 
 
-def land_payloads(payloads: DataFrame, path: str, several_runs: bool = False) -> None:
-    """Write stamped payloads as JSON lines under one directory per run date.
+def by_run_date(rows: DataFrame) -> DataFrame:
+    """Rows brought together by run date, which AQE splits again where a run is large, and in its
+    order within a task. What is then made of a row neither travels nor is sorted by the write."""
+    return rows.hint("rebalance", "run_date").sortWithinPartitions("run_date")
 
-    Re-landing a run replaces exactly that run. One run is written as it comes, without a
-    shuffle; several at once are first brought together by run date, which AQE splits again
-    where a run is large.
-    """
-    if several_runs:
-        payloads = payloads.hint("rebalance", "run_date")
+
+def land_lines(rows: DataFrame, fmt: str, path: str, mode: str) -> None:
+    """Rows as gzipped lines under one directory per run date. Such files cannot be split, so each
+    holds a bounded number of lines."""
     (
-        payloads.write.mode("overwrite")
+        rows.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", LINES_PER_FILE)
         .partitionBy("run_date")
-        .json(path)
+        .format(fmt)
+        .save(path)
     )
 
 
+def land_payloads(payloads: DataFrame, path: str, several_runs: bool = False) -> None:
+    """Write stamped payloads as JSON lines under one directory per run date.
+
+    Re-landing a run replaces exactly that run. One run is written as it comes, without a
+    shuffle, and so are rows made of others that ``by_run_date`` has ordered; several runs in any
+    order are first brought together here, payloads and all.
+    """
+    land_lines(by_run_date(payloads) if several_runs else payloads, "json", path, "overwrite")
+
+
 def _reader(spark: SparkSession) -> DataFrameReader:
     return (
         spark.read.schema(PAYLOAD).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)

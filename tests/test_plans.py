@@ -1,10 +1,13 @@
 """What the physical plans must and must not contain."""
 
 import contextlib
+import datetime
 import io
+import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from stormgrid import schemas
 from stormgrid.checks import fixtures as fx, queries as q
@@ -90,3 +93,25 @@ def test_run_reads_its_partition_only(spark, sf_dir, tmp_path):
     layers.write_layer(runs, str(tmp_path / "silver"), "run_date", ["city", "forecast_date"])
     one = layers.read_layer(spark, str(tmp_path / "silver"), schemas.SILVER, "2024-01-02")
     assert all("run_date=2024-01-02" in f for f in one.inputFiles())
+
+
+def test_landing_moves_base_rows_and_writes_compressed_lines(spark, folder):
+    """The days of a payload are made behind the shuffle and its sort, and land gzipped."""
+    start = datetime.datetime(2024, 1, 1)
+    events = [
+        (i, start + datetime.timedelta(minutes=i), i % 50, "view", f'{{"k": {i % 100}}}') for i in [*range(1500), 7, 7]
+    ]
+    spark.createDataFrame(
+        events, "event_id long, ts timestamp_ntz, user_id long, event_type string, props string"
+    ).write.parquet(f"{folder}/events.parquet")
+    nations = [(i, f"NATION_{i}") for i in range(25)]
+    spark.createDataFrame(nations, "n_nationkey int, n_name string").write.parquet(f"{folder}/nation.parquet")
+    for rows in (fx.payloads(spark, folder), fx.defective_lines(spark, folder)):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        above, below = plan.split("RebalancePartitions")
+        assert "Sort" in above and "city_name" in below and "transform" not in below
+    path = fx.bronze_folder(spark, folder)
+    assert spark.read.text(path).count() == len(events)
+    text = spark.read.text(path).agg(F.sum(F.length("value"))).first()[0]
+    files = [os.path.join(at, f) for at, _, names in os.walk(path) for f in names if not f.startswith((".", "_"))]
+    assert all(f.endswith(".gz") for f in files) and sum(map(os.path.getsize, files)) * 2 < text
