@@ -31,13 +31,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stormgrid.llm.components import stored
-from stormgrid.llm.superwindows import SuperWindows, super_windows, text_runs
+from stormgrid.llm.superwindows import SuperWindows, hashes_of, super_windows, text_runs
 from stormgrid.llm.textvec import text_chunks
 
 LENGTH = 50
 SAMPLE_EVERY = 64  # documents by a hash of their id; for the placing of common anchors only
-TREE_BYTES = 1 << 22  # of super-windows that are sorted together, whole buckets at a time
+TREE_BYTES = 1 << 20  # of super-windows that are sorted together, whole buckets at a time
 TREE_PIECES = 50_000  # different super-windows of one bucket; fuller buckets are cut into windows
+SORT_SUFFIXES = 1 << 16  # sorted at a time; those that begin alike stay together
+HASHED_BYTES = 1 << 18  # of super-windows at a time
+OUT_ROWS = 1 << 13  # of a batch of occurrences
 DIVERSE = 256  # no byte: what stands to the left differs, or lies in another bucket
 
 MARK_SCHEMA = "key int, digest long, doc_id long, pos long"
@@ -237,9 +240,41 @@ def intervals(common: np.ndarray, left: np.ndarray, least: int) -> list[tuple[in
     return found
 
 
-def maximal_repeats(pieces: list[bytes], length: int):
+def _beginnings(data: np.ndarray, begin: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of ``data[b : b + length]`` for each ascending ``b``, some bytes at a time."""
+    out = np.empty(len(begin), np.uint64)
+    for at in range(0, len(data) - length + 1, HASHED_BYTES):
+        low, high = np.searchsorted(begin, (at, at + HASHED_BYTES))
+        (hashed,) = hashes_of(data[at : at + HASHED_BYTES + length - 1], (length,))
+        out[low:high] = hashed[begin[low:high] - at]
+    return out
+
+
+def alike(data: np.ndarray, begin: np.ndarray, length: int):
+    """Suffixes whose first ``length`` bytes another one begins with too, in parts of about
+    ``SORT_SUFFIXES``. Equal beginnings have equal hashes, so they share a part; a chance collision
+    only brings in a suffix that the sort sets apart."""
+    hashed = _beginnings(data, begin, length)
+    order = np.argsort(hashed, kind="stable")
+    times = np.diff(np.append(_changes(hashed[order]), len(order)))
+    order, times = order[np.repeat(times > 1, times)], times[times > 1]
+    ends = np.cumsum(times)
+    at = 0
+    while at < len(order):
+        # at least one beginning with all its suffixes
+        after = int(np.searchsorted(ends, at, side="right"))
+        upto = int(ends[max(after, np.searchsorted(ends, at + SORT_SUFFIXES, side="right") - 1)])
+        yield np.sort(order[at:upto])
+        at = upto
+
+
+def repeats_by_part(pieces: list[bytes], length: int):
     """Maximal repeats of at least ``length`` bytes among different super-windows, as arrays
-    (group, piece, offset, size), one row for each occurrence."""
+    (group, piece, offset, size), one row for each occurrence, part by part.
+
+    A repeat lies among suffixes that begin alike, so the parts' trees are the whole one's, less the
+    suffixes that repeat nothing. Groups are counted from 0 in each part.
+    """
     sizes = np.array([len(p) for p in pieces], np.int64)
     data = np.frombuffer(b"".join(pieces), np.uint8)
     ends = np.cumsum(sizes)
@@ -247,15 +282,27 @@ def maximal_repeats(pieces: list[bytes], length: int):
     piece = np.repeat(np.arange(len(pieces)), windows)
     offset = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
     begin = (ends - sizes)[piece] + offset
-    order, common = suffix_array(data, begin, ends[piece])
-    # the byte before a piece's first lies in another bucket, where the repeat goes on as another
-    left = np.where(offset > 0, data[begin - 1].astype(np.int16), np.int16(DIVERSE))[order]
-    groups = np.array(intervals(common, left, length), np.int64).reshape(-1, 3)
-    times = groups[:, 2] - groups[:, 1] + 1
-    group = np.repeat(np.arange(len(groups)), times)
-    member = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + groups[group, 1]
-    suffix = order[member]
-    return group, piece[suffix], offset[suffix], groups[group, 0]
+    for part in alike(data, begin, length):
+        order, common = suffix_array(data, begin[part], ends[piece[part]])
+        order = part[order]
+        # the byte before a piece's first lies in another bucket, where the repeat goes on as another
+        left = np.where(offset[order] > 0, data[begin[order] - 1].astype(np.int16), np.int16(DIVERSE))
+        groups = np.array(intervals(common, left, length), np.int64).reshape(-1, 3)
+        times = groups[:, 2] - groups[:, 1] + 1
+        group = np.repeat(np.arange(len(groups)), times)
+        member = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + groups[group, 1]
+        suffix = order[member]
+        yield group, piece[suffix], offset[suffix], groups[group, 0]
+
+
+def maximal_repeats(pieces: list[bytes], length: int):
+    """All parts of ``repeats_by_part`` as one."""
+    none = np.zeros(0, np.int64)
+    parts, n = [(none, none, none, none)], 0
+    for group, *rest in repeats_by_part(pieces, length):
+        parts.append((group + n, *rest))
+        n += group.max() + 1 if len(group) else 0
+    return tuple(map(np.concatenate, zip(*parts)))
 
 
 def tree_batches(length: int):
@@ -265,17 +312,22 @@ def tree_batches(length: int):
     def answer(rows: list[pa.RecordBatch]):
         table = pa.Table.from_batches(rows).combine_chunks()
         pieces = table["piece"].to_pylist()
-        group, piece, offset, size = maximal_repeats(pieces, length)
-        doc = table["doc_id"].to_numpy()[piece]
-        least = np.full(group.max() + 1 if len(group) else 0, np.iinfo(np.int64).max)
-        np.minimum.at(least, group, doc)
-        _, heads = np.unique(group, return_index=True)
-        names = [hashlib.blake2b(pieces[piece[h]][offset[h] :][: size[h]], digest_size=16).digest() for h in heads]
-        taken = table.select(["key", "digest", "doc_id", "pos"]).take(pa.array(piece))
-        found = [pa.array(names, pa.binary()).take(pa.array(group)), pa.array(least[group]), pa.array(offset), pa.array(size)]
-        for name, column in zip(["group", "least_doc", "offset", "size"], found):
-            taken = taken.append_column(name, column)
-        yield from taken.combine_chunks().to_batches()
+        held, docs = table.select(["key", "digest", "doc_id", "pos"]), table["doc_id"].to_numpy()
+        for group, piece, offset, size in repeats_by_part(pieces, length):
+            least = np.full(group.max() + 1 if len(group) else 0, np.iinfo(np.int64).max)
+            np.minimum.at(least, group, docs[piece])
+            _, heads = np.unique(group, return_index=True)
+            names = [hashlib.blake2b(pieces[piece[h]][offset[h] :][: size[h]], digest_size=16).digest() for h in heads]
+            for at in range(0, len(group), OUT_ROWS):
+                some = slice(at, at + OUT_ROWS)
+                taken = held.take(pa.array(piece[some]))
+                found = [
+                    pa.array(names, pa.binary()).take(pa.array(group[some])),
+                    *map(pa.array, (least[group[some]], offset[some], size[some])),
+                ]
+                for name, column in zip(["group", "least_doc", "offset", "size"], found):
+                    taken = taken.append_column(name, column)
+                yield from taken.combine_chunks().to_batches()
 
     def run(batches):
         rows, held = [], 0

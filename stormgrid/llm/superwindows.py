@@ -21,7 +21,7 @@ def gram(length: int) -> int:
     return max(1, length * 2 // 5)
 
 
-def _hash_of(data: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
+def hashes_of(data: np.ndarray, sizes: tuple[int, ...]) -> list[np.ndarray]:
     """Hashes of all strings of the given sizes, by doubling: entry i is of the one from byte i on."""
     doubled, size = {1: BYTE_CODE[data]}, 1
     while size * 2 <= max(sizes):
@@ -95,7 +95,7 @@ def super_windows(run: pa.Array, length: int) -> SuperWindows:
         none = np.zeros(0, np.int64)
         blank = none.astype(U64)
         return SuperWindows(data, offsets, none, none, none, none.astype(np.int32), none, blank, blank)
-    grams, whole = _hash_of(data, (size, length))
+    grams, whole = hashes_of(data, (size, length))
     # 32 bits of hash and the place in one number: the least is the first of the least grams
     packed = (grams >> U64(32) << U64(32)) | np.arange(len(grams), dtype=U64)
     anchor = (_least(packed, length - size + 1) & U64(0xFFFFFFFF)).astype(np.int64)

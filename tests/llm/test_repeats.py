@@ -172,3 +172,29 @@ def test_groups_hold_all_occurrences(spark):
         if g["doc_id"] == 0:
             covered |= set(range(g["start"], g["start"] + g["size"]))
     assert covered == set(range(41, 105))
+
+
+def test_trees_hold_a_bounded_part_in_memory(monkeypatch):
+    """Many suffixes are sorted part by part, with the repeats of one sort over all of them."""
+    import tracemalloc
+
+    rng = random.Random(5)
+    stems = [bytes(rng.choices(b"abcdefgh", k=64)) for _ in range(400)]
+    pieces = list({rng.choice(stems) + bytes(rng.choices(b"abcdefgh", k=16)) for _ in range(20_000)})
+
+    def repeats_of(length):
+        group, piece, offset, size = repeats.maximal_repeats(pieces, length)
+        got = collections.defaultdict(set)
+        for g, p, o in zip(group.tolist(), piece.tolist(), offset.tolist()):
+            got[g].add((p, o))
+        return sorted((int(size[i]), sorted(got[g])) for g, i in {g: i for i, g in enumerate(group.tolist())}.items())
+
+    tracemalloc.start()
+    for _ in repeats.repeats_by_part(pieces, 50):
+        pass
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 80e6  # one sort of all 620,000 suffixes took 157e6
+    parted = repeats_of(50)
+    monkeypatch.setattr(repeats, "SORT_SUFFIXES", 1 << 40)
+    assert parted == repeats_of(50)
