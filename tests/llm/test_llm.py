@@ -556,3 +556,40 @@ def test_licenses_of_a_full_text_and_none():
     (found,) = [f for f in scanner.scan("before it\n" + text + "\nafter it") if f[2] - f[1] > len(text) // 2]
     assert found[0] == name and found[3] > 0.9 and found[4] == 0
     assert list(scanner.scan("")) == list(scanner.scan("a license of no kind " * 500)) == []
+
+
+def test_rules_are_fitted_on_every_labelled_document(spark):
+    """Ranges and threshold are the quantiles of all good documents, and each goes into some tree."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    plain = ["".join(rng.choice(list("abcdefgh"), n)) for n in rng.integers(2, 12, 400)]
+    texts = [" ".join(rng.choice(plain, 30)) + "!" * int(rng.integers(0, 9)) for _ in range(6500)]
+    rows = [*enumerate(texts), (3, texts[3]), (9000, "short"), (None, texts[0])]
+    labels = [(i, int(i % 9 != 0), 0) for i in [*range(6500), 9000, 5]] + [(None, 1, 0), (7, None, 0)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs = documents(spark, rows)
+    forest = quality_rules.fit(docs, labels)
+    x = quality_rules.features(quality_rules.statistics(pa.array(texts, pa.large_string())))
+    good = x[np.arange(len(x)) % 9 != 0]
+    ends = np.quantile(good, (quality_rules.OUTER, 0.5, 1 - quality_rules.OUTER), axis=0)
+    assert np.allclose([forest.ranges.low, forest.ranges.middle, forest.ranges.high], ends, rtol=1e-12, atol=0)
+    scores = forest.scores(forest.ranges.excess(good))
+    assert forest.threshold == np.quantile(scores, 1 - quality_rules.GOOD_LOST, method="higher")
+    held = quality_rules.labelled_features(docs, labels)
+    dealt = quality_rules._deal(held, forest.ranges, 16).toPandas()
+    assert held.count() == 6500 and len(dealt) == 16 * 6500 and dealt["tree"].nunique() == quality_rules.TREES
+    again = quality_rules.fit(docs.repartition(5), labels)
+    assert again.threshold == forest.threshold and np.array_equal(again.cut, forest.cut)
+
+
+def test_quantiles_by_brute_force(spark):
+    rng = np.random.default_rng(4)
+    columns = [rng.integers(0, 5, 300) / 4, rng.normal(size=301), np.zeros(7), np.array([2.0])]
+    values = spark.createDataFrame([(f, float(v)) for f, c in enumerate(columns) for v in c], "f int, v double")
+    shares = (0.0, 0.004, 0.3, 0.5, 0.996, 1.0)
+    got, higher = quality_rules.quantiles(values, shares), quality_rules.quantiles(values, shares, higher=True)
+    for f, c in enumerate(columns):
+        assert np.allclose(got[f], np.quantile(c, shares), rtol=1e-12, atol=1e-15)
+        assert higher[f] == list(np.quantile(c, shares, method="higher"))
+    assert quality_rules.quantiles(values.where("false"), shares) == {}
