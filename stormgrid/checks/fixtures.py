@@ -157,7 +157,7 @@ def _payload_days(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
     """One payload per base row of those ``which``, by run date: a fetch at ``ts`` with seven days
     of forecasts. Day ``i`` of row ``id`` takes the measures of row number ``id * 7 + i``.
 
-    The base rows are brought together, at a tenth of a payload's size, before the days are made."""
+    The base rows are brought together, at a seventh of a payload's size, before the days are made."""
     rows = events_base(spark, sf_dir).where(which).join(dim(spark, sf_dir), F.expr("city_key = city_id"))
     rows = bronze.by_run_date(rows.withColumn("run_date", F.expr("CAST(ts AS DATE)")))
     series = {"forecast_date": "CAST(date_add(CAST(ts AS DATE), i) AS STRING)"}
