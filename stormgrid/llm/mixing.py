@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stormgrid.llm.components import stored
+from stormgrid.llm.components import few_parts, stored
 from stormgrid.operators.sizing import join_dimension
 
 LEVELS = ("domain", "lang", "source")
@@ -127,9 +127,11 @@ def _bucket(order: Column, buckets: Column) -> Column:
 
 
 def plan_mix(rows: DataFrame, mix: Mix) -> DataFrame:
-    """One row per leaf: whole epochs, and the place and tokens at which the next one is cut."""
+    """One row per leaf: whole epochs, and the place and tokens at which the next one is cut. ``rows``
+    is a stored table."""
+    n = rows.count()  # leaves are no more than their rows
     leaves = rows.groupBy("leaf", *LEVELS).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
-    leaves = stored(allocate(stored(leaves, "leaves"), mix), "shares")
+    leaves = stored(few_parts(allocate(stored(few_parts(leaves, n), "leaves"), mix), n), "shares")
     goal = stored(
         leaves.select(
             "leaf",
@@ -150,7 +152,7 @@ def plan_mix(rows: DataFrame, mix: Mix) -> DataFrame:
         .where("upto >= rest AND upto - n < rest")
         .select("leaf", F.col("bucket").alias("cut_bucket"), (F.col("upto") - F.col("n")).alias("before"))
     )
-    crossing = stored(crossing, "crossings")
+    crossing = stored(few_parts(crossing, n), "crossings")
     inside = join_dimension(placed, crossing, "leaf").where("bucket = cut_bucket")
     steps = inside.groupBy("leaf", "rest", "before", "order").agg(
         F.sum("n_tokens").alias("n"), F.count("*").alias("cut_rows")
@@ -166,7 +168,7 @@ def plan_mix(rows: DataFrame, mix: Mix) -> DataFrame:
             "cut_rows",
         )
     )
-    return stored(goal.select("leaf", "whole").join(cuts, "leaf", "left"), "mix")
+    return stored(few_parts(goal.select("leaf", "whole").join(cuts, "leaf", "left"), n), "mix")
 
 
 def _in_turn(tied: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stormgrid.llm.components import components, stored
+from stormgrid.llm.components import PART_ROWS, PART_TEXTS, components, few_parts, stored
 from stormgrid.llm.shingles import PARITY_WORDS, SET_SCHEMA, SKETCH_SCHEMA, set_batches, sketch_batches
 
 SHINGLE = 5
@@ -203,21 +203,26 @@ def near_duplicates(
     sets always fall together, whatever their number.
     """
     sketches = stored(document_sketches(docs, size, k), "sketches")
+    rows = sketches.count()
     found = classes(sketches)
-    prefixes = stored(rare_postings(found, k, least_overlap), "prefixes")
+    prefixes = stored(few_parts(rare_postings(found, k, least_overlap), rows), "prefixes")
     # whole sets only for the classes that some list holds, from one more reading of the texts
     wanted = prefixes.select(F.col("id").alias("doc_id"))
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi")
+    texts = few_parts(texts, rows, PART_TEXTS)
     sets = stored(texts.mapInArrow(set_batches(size), SET_SCHEMA).withColumnRenamed("doc_id", "id"), "sets")
 
     same_id = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL").join(
         found.select("digest", F.col("id").alias("rep")), "digest"
     )
     exact = same_id.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).where("a <> b")
-    near = stored(_verified(_central_pairs(prefixes), sets, percent), "near")
-    labels = components(near)
-    rest = stored(_verified(_cross_pairs(prefixes, sets, labels, percent), sets, percent), "rest")
-    labels = components(exact.unionByName(near).unionByName(rest))
+    # pairs are verified by all tasks there are, and what is left of them is then a few numbers
+    parts = rows // PART_ROWS + 1
+    near = stored(_verified(_central_pairs(prefixes), sets, percent).repartition(parts), "near")
+    labels = components(near, near.count())
+    rest = _verified(_cross_pairs(prefixes, sets, labels, percent), sets, percent)
+    rest = stored(rest.repartition(parts), "rest")
+    labels = components(exact.unionByName(near).unionByName(rest), rows + near.count() + rest.count())
     named = sketches.select("doc_id", "n_shingles").join(
         labels.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left"
     )
@@ -229,4 +234,5 @@ def near_duplicates(
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of documents that stay: one document of each group, all columns as they were."""
     gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return few_parts(kept, docs.count(), PART_TEXTS)

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stormgrid.llm.components import one_text, stored, unused
+from stormgrid.llm.components import few_parts, one_text, stored, unused
 from stormgrid.llm.textvec import release, text_chunks
 
 LABELLED_PER_CLASS = 4000  # bound of the labelled sample
@@ -411,7 +411,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = LABELLED_PER_CLASS)
     grams = trigram_counts(docs).collect()  # at most 28 cubed rows
     model = Model(language_model([r["gram"] for r in grams], [r["n"] for r in grams]))
     texts = _sample_texts(docs, labels, per_class)
-    counts = stored(_feature_counts(texts, model.logp), "toxic-words")
+    counts = stored(few_parts(_feature_counts(texts, model.logp), 10 * per_class), "toxic-words")
     totals = counts.where("feature = ''").first()
     if totals is None or not totals["toxic"] or not totals["clean"]:
         n = totals["clean"] + totals["toxic"] if totals else 0

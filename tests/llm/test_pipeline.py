@@ -1,12 +1,15 @@
 """Each stage of the pipeline against plain Python or SQL over what the stage before it kept."""
 
+from pathlib import Path
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from stormgrid.llm import oracle, queries, secret_ledger, toxicity
+from stormgrid.llm import mixing, neardup, oracle, queries, secret_ledger, toxicity
+from stormgrid.session import scratch
 from test_llm import documents, groups_by_brute_force
 
 
@@ -86,3 +89,33 @@ def test_clashing_names(spark, folder):
     labels = spark.createDataFrame([(9, 0, 1)], "doc_id long, quality int, toxic int")
     clean = toxicity.keep_clean(named, toxicity.fit(named, labels))
     assert clean.columns == named.columns and {r["_SCORE"] for r in clean.collect()} <= {"s"}
+
+
+def test_small_tables_are_few_files(spark, folder):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*words[: 50 + i % 7], f"token=abcdefgh{i:04d}"]) for i in range(90)]
+    texts += [" ".join(f"{w}x{i // 2}" for w in words) for i in range(60)]
+    docs = documents(spark, list(enumerate(texts)))
+    docs.write.parquet(f"{folder}/documents")
+    docs = spark.read.parquet(f"{folder}/documents")
+    tables = Path(scratch(spark, "none")).parent
+    before = set(tables.iterdir()) if tables.exists() else set()
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        kept = neardup.keep_first(docs)
+        kept.write.parquet(f"{folder}/kept")
+        secret_ledger.redact(docs, f"{folder}/ledger").write.parquet(f"{folder}/redacted")
+        mixing.select_documents(docs, corpus_pipeline.MIX).write.parquet(f"{folder}/mixed")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    groups = groups_by_brute_force(enumerate(texts))
+    assert set(texts_of(spark.read.parquet(f"{folder}/kept"))) == {i for i, (_, _, first) in groups.items() if first}
+    # each of these tables is a few rows; tables that no shuffle precedes have the parts of their input
+    made = [p for p in tables.iterdir() if p not in before and not p.name.startswith(("sketches-", "tokens-"))]
+    assert any(p.name.startswith("small-star-") for p in made) and any(p.name.startswith("goals-") for p in made)
+    written = [*made, *Path(folder, "ledger").glob("*/*"), Path(folder, "kept"), Path(folder, "redacted")]
+    assert {p.name: n for p in written if (n := len(list(p.glob("part-*")))) > 1} == {}
